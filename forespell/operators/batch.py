@@ -150,7 +150,7 @@ def prefix_ranges(
     profile = profile or profile_queries(distinct)
     entries = dictionary.select(match_key(dictionary, case_sensitive).alias("key"), F.lit(1).alias("entry"))
     marks = distinct.select(F.col("prefix").alias("key"), F.lit(0).alias("entry"))
-    numbered = number_rows(entries.union(marks), ["key", "entry"])
+    numbered = number_rows(entries.union(marks), [F.col("key"), F.col("entry")])
     offsets = partition_offsets(numbered, F.col("entry"))
     earlier_marks = F.row_number().over(Window.partitionBy("part").orderBy("row")) - 1
     bounds = (

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from forespell.functions import byte_length, fold
 from forespell.session import cut_lineage
 
+# Equal rows that may sit in one partition of a sort.
+COPIES_PER_CHUNK = 1_000_000
+
 # monotonically_increasing_id() keeps the partition number above this bit and the
 # row number inside the partition below it.
 _ROW_BITS = 33
@@ -25,11 +28,39 @@ def match_key(dictionary: DataFrame, case_sensitive: bool) -> Column:
     return F.col("folded") if "folded" in dictionary.columns else fold("text")
 
 
-def sort_dictionary(dictionary: DataFrame, case_sensitive: bool = True) -> DataFrame:
-    """Byte order of the text (or folded text), then text, then weight: a total order."""
-    if case_sensitive:
-        return dictionary.orderBy("text", "weight")
-    return dictionary.orderBy(match_key(dictionary, False), "text", "weight")
+def spread_copies(df: DataFrame) -> DataFrame:
+    """The same rows with ``_chunk``, so that no more than ``COPIES_PER_CHUNK`` are alike.
+
+    Equal rows cannot be told apart by a range exchange and would all meet in
+    one partition, however many there are. They are counted first and numbered
+    in chunks, which the exchange can separate.
+    """
+    size = F.lit(COPIES_PER_CHUNK)
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    last_chunk = F.floor((F.col("_copies") - 1) / size).cast("bigint")
+    chunked = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    left = F.least(size, F.col("_copies") - F.col("_chunk") * size)
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), left))
+    return chunked.withColumn("_copy", copies).drop("_copy", "_copies")
+
+
+def sort_dictionary(
+    dictionary: DataFrame, case_sensitive: bool = True, unique: bool = False
+) -> DataFrame:
+    """Byte order of the text (or folded text), then text, then weight: a total order.
+
+    ``unique=True`` promises that no two rows are equal and saves the counting
+    of copies.
+    """
+    order = _sort_order(dictionary, case_sensitive)
+    if unique:
+        return dictionary.orderBy(*order)
+    return spread_copies(dictionary).orderBy(*order, "_chunk").drop("_chunk")
+
+
+def _sort_order(dictionary: DataFrame, case_sensitive: bool) -> list[Column]:
+    order = [F.col("text"), F.col("weight")]
+    return order if case_sensitive else [match_key(dictionary, False), *order]
 
 
 def dedup(dictionary: DataFrame, case_sensitive: bool = True, on_duplicate: str = "min") -> DataFrame:
@@ -75,7 +106,7 @@ def input_stats(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     """Sort ``df`` across partitions and add ``part`` and ``row``.
 
     ``row`` is the 0-based place inside partition ``part``. The sorted rows are
@@ -103,23 +134,23 @@ def partition_offsets(numbered: DataFrame, counted: Column) -> DataFrame:
     return per_part.select("part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
 
 
-def with_position(dictionary: DataFrame, case_sensitive: bool = True) -> DataFrame:
+def with_position(
+    dictionary: DataFrame, case_sensitive: bool = True, unique: bool = True
+) -> DataFrame:
     """Add ``pos``, the 0-based place in sorted order.
 
     One range exchange; every partition numbers its own rows and adds the size
     of the partitions before it, so no prefix, however common, ends up in one
-    task.
+    task. ``unique=False`` does the same for a dictionary with equal rows.
     """
-    if case_sensitive:
-        columns, order = dictionary.columns, ["text", "weight"]
-        keyed = dictionary
+    order = _sort_order(dictionary, case_sensitive)
+    if unique:
+        numbered = number_rows(dictionary, order)
     else:
-        columns, order = dictionary.columns, ["_key", "text", "weight"]
-        keyed = dictionary.withColumn("_key", match_key(dictionary, False))
-    numbered = number_rows(keyed, order)
+        numbered = number_rows(spread_copies(dictionary), [*order, F.col("_chunk")])
     offsets = partition_offsets(numbered, F.lit(1))
     return numbered.join(F.broadcast(offsets), "part").select(
-        *columns, (F.col("before") + F.col("row")).alias("pos")
+        *dictionary.columns, (F.col("before") + F.col("row")).alias("pos")
     )
 
 

@@ -70,8 +70,8 @@ def explode_prefixes(keyed: DataFrame, key: str, lengths: tuple[int, ...]) -> Da
     first, last = lengths[0], lengths[-1]
     span = last - first + 1
     long_enough = keyed.filter(F.length(key) >= first)
-    if len(lengths) * 2 >= span:
-        # nearly every length is wanted: generate them up to the key's own length
+    if len(lengths) * 2 >= span or len(lengths) > 64:
+        # many lengths are wanted: generate all of them, up to the key's own length
         reach = F.least(F.length(key), F.lit(last))
         cut = long_enough.withColumn("_n", F.explode(F.sequence(F.lit(first), reach)))
         if len(lengths) < span:

@@ -22,13 +22,13 @@ def save_dictionary(dictionary: DataFrame, path: str, case_sensitive: bool = Tru
     dictionary also stores the folded text.
     """
     if case_sensitive:
-        rows, key = dictionary.select("text", "weight"), "text"
+        rows, order = dictionary.select("text", "weight"), ["text"]
     else:
-        key = "folded"
-        rows = dictionary.select("text", "weight", match_key(dictionary, False).alias(key))
+        rows = dictionary.select("text", "weight", match_key(dictionary, False).alias("folded"))
+        order = ["folded", "text"]
     (
-        rows.repartitionByRange(key)
-        .sortWithinPartitions(key)
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("parquet.writer.version", "v2")
         .option("parquet.enable.dictionary#text", "false")

@@ -166,6 +166,8 @@ FROM requests WHERE k < 1 OR length(q) < 5""",
         "input_stats": with_(WORDS)
         + """SELECT count(*) AS entries, CAST(sum(strlen(text)) AS BIGINT) AS text_bytes,
 max(weight) AS max_weight FROM words""",
+        "with_position_copies": with_(PART_SIZES)
+        + "SELECT text, weight, row_number() OVER (ORDER BY text, weight) - 1 AS pos FROM part_sizes",
         "with_position": with_(WORDS, positions("words")) + "SELECT text, weight, pos FROM positioned",
         "with_position_ci": with_(WORDS, FOLDED)
         + "SELECT text, weight, row_number() OVER (ORDER BY folded, text, weight) - 1 AS pos FROM folded",

@@ -165,6 +165,7 @@ def dictionary_queries() -> dict[str, Query]:
         "row_counts": lambda s, d: fs.row_counts(part_sizes(s, d)),
         "row_counts_ci": lambda s, d: fs.row_counts(words(s, d), case_sensitive=False),
         "input_stats": lambda s, d: fs.input_stats(words(s, d)),
+        "with_position_copies": lambda s, d: fs.with_position(part_sizes(s, d), unique=False),
         "with_position": lambda s, d: fs.with_position(words(s, d)),
         "with_position_ci": lambda s, d: fs.with_position(words(s, d), case_sensitive=False),
     }
