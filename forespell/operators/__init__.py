@@ -2,6 +2,7 @@
 
 from forespell.operators.batch import (
     complete_batch,
+    heavy_weight,
     match_counts,
     match_entries,
     prefix_ranges,
@@ -41,6 +42,7 @@ __all__ = [
     "complete_batch",
     "dedup",
     "heaviest_in_range",
+    "heavy_weight",
     "input_stats",
     "match_count",
     "match_counts",

@@ -30,6 +30,7 @@ def complete_batch(
     ties: str = "last",
     keep_unmatched: bool = False,
     profile: QueryProfile | None = None,
+    heavy_from: int | None = None,
 ) -> DataFrame:
     """``qid, rank, text, weight``: the ``k`` best completions of every query.
 
@@ -38,6 +39,9 @@ def complete_batch(
     and the answer is handed back to all its queries. With ``keep_unmatched`` a
     query without completions stays as one row of nulls. ``profile`` saves the
     job that measures the queries when their size is known already.
+
+    ``heavy_from`` (see ``heavy_weight``) makes large batches cheaper without
+    changing the answer: common prefixes are settled by the heavy entries alone.
     """
     check_ties(ties)
     asked = with_prefix(queries, case_sensitive)
@@ -46,7 +50,7 @@ def complete_batch(
     how = "left" if keep_unmatched else "inner"
     if ties == "scan":
         return _complete_scan(dictionary, asked, distinct, profile, case_sensitive, how)
-    answers = best_per_prefix(dictionary, distinct, profile, case_sensitive)
+    answers = best_per_prefix(dictionary, distinct, profile, case_sensitive, heavy_from)
     returned = hand_back(asked, answers.select("prefix", "rank", "text", "weight"), distinct, profile, how)
     # a query may ask for fewer than its prefix was answered for
     wanted = F.col("rank") <= F.col("k")
@@ -54,16 +58,40 @@ def complete_batch(
     return kept.select("qid", "rank", "text", "weight")
 
 
+def heavy_weight(dictionary: DataFrame, share: float = 0.01) -> int | None:
+    """A weight that about ``share`` of the entries reach; null for no entries.
+
+    One pass over the weights. It may be kept with the dictionary and reused:
+    the answers are exact whatever its value is.
+    """
+    return dictionary.agg(F.percentile_approx("weight", 1.0 - share)).first()[0]
+
+
 def best_per_prefix(
-    dictionary: DataFrame, distinct: DataFrame, profile: QueryProfile, case_sensitive: bool = True
+    dictionary: DataFrame,
+    distinct: DataFrame,
+    profile: QueryProfile,
+    case_sensitive: bool = True,
+    heavy_from: int | None = None,
 ) -> DataFrame:
     """``prefix, rank, key, text, weight`` for the prefixes in ``distinct``."""
-    return reduce_by_prefix(
-        keyed_entries(dictionary, case_sensitive),
-        distinct,
-        profile,
-        lambda exploded: top_n(exploded, ["prefix"], heaviest_first(), profile.max_k),
-    )
+    keyed = keyed_entries(dictionary, case_sensitive)
+    k = profile.max_k
+
+    def ranked(entries: DataFrame, wanted: DataFrame) -> DataFrame:
+        return reduce_by_prefix(
+            entries, wanted, profile, lambda exploded: top_n(exploded, ["prefix"], heaviest_first(), k)
+        )
+
+    if heavy_from is None:
+        return ranked(keyed, distinct)
+    # A prefix with k heavy matches is settled, for everything else is lighter.
+    # What is common enough to be costly is settled here, on a small share of the
+    # dictionary; the full pass is left with prefixes that match little.
+    heavy = ranked(keyed.filter(F.col("weight") >= heavy_from), distinct)
+    settled = heavy.filter(F.col("rank") == k).select("prefix")
+    remaining = ranked(keyed, distinct.join(settled, "prefix", "left_anti"))
+    return heavy.join(settled, "prefix", "left_semi").unionByName(remaining)
 
 
 def _complete_scan(
@@ -109,7 +137,7 @@ def match_entries(
     profile = profile or profile_queries(distinct)
     exploded = explode_prefixes(keyed_entries(dictionary, case_sensitive), "key", profile.lengths)
     wanted = asked.select("qid", "prefix")
-    small = profile.fits_broadcast() and profile.queries <= BROADCAST_ROWS
+    small = profile.broadcasts() == 1 and profile.queries <= BROADCAST_ROWS
     wanted = F.broadcast(wanted) if small else wanted.hint("shuffle_merge")
     return exploded.join(wanted, "prefix").select("qid", "text", "weight")
 

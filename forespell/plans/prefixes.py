@@ -8,6 +8,8 @@ real match, and no entry is compared with every query.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +18,12 @@ from pyspark.sql import functions as F
 from forespell.functions import fold
 from forespell.operators.prepare import match_key
 
-# Distinct prefixes up to both bounds are broadcast; beyond either, shuffled.
+# One broadcast holds at most this many distinct prefixes, and bytes of them. More
+# are split over several broadcasts, each with its own pass over the dictionary;
+# beyond that many passes the dictionary is shuffled instead.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+BROADCAST_PASSES = 8
 
 # A prefix repeated in more queries than this is spread over several tasks when
 # the answers are handed back.
@@ -35,8 +40,16 @@ class QueryProfile(NamedTuple):
     max_k: int
     lengths: tuple[int, ...]
 
-    def fits_broadcast(self) -> bool:
-        return self.prefixes <= BROADCAST_ROWS and self.prefix_bytes <= BROADCAST_BYTES
+    def broadcasts(self) -> int:
+        """How many broadcasts the distinct prefixes take; 0 when they are too many."""
+        if BROADCAST_ROWS < 1:
+            return 0
+        if self.prefixes <= BROADCAST_ROWS and self.prefix_bytes <= BROADCAST_BYTES:
+            return 1
+        # filled to half on average, so that an uneven split stays within the bound
+        rows, size = self.prefixes / BROADCAST_ROWS, self.prefix_bytes / BROADCAST_BYTES
+        needed = ceil(2 * max(rows, size))
+        return needed if needed <= BROADCAST_PASSES else 0
 
 
 def with_prefix(queries: DataFrame, case_sensitive: bool) -> DataFrame:
@@ -92,20 +105,26 @@ def reduce_by_prefix(
     keyed: DataFrame,
     distinct: DataFrame,
     profile: QueryProfile,
-    reduce: Callable[[DataFrame], DataFrame],
+    reduce_rows: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Apply ``reduce`` to the matches of every wanted prefix.
+    """Apply ``reduce_rows`` to the matches of every wanted prefix.
 
-    Few prefixes: they are broadcast and the dictionary is filtered where it is
-    read; only what ``reduce`` keeps per partition is shuffled. Many prefixes:
-    the exploded dictionary is reduced first, with map-side cuts, and the
+    As long as the prefixes can be broadcast, the dictionary is filtered where it
+    is read, and only what ``reduce_rows`` keeps per partition is shuffled. Beyond
+    that the exploded dictionary is reduced first, with map-side cuts, and the
     reduced rows meet the prefixes on the exchange that the reduction made.
     """
     exploded = explode_prefixes(keyed, "key", profile.lengths)
     wanted = distinct.select("prefix")
-    if profile.fits_broadcast():
-        return reduce(exploded.join(F.broadcast(wanted), "prefix", "left_semi"))
-    return reduce(exploded).join(wanted.hint("shuffle_merge"), "prefix", "left_semi")
+    broadcasts = profile.broadcasts()
+    if broadcasts == 0:
+        return reduce_rows(exploded).join(wanted.hint("shuffle_merge"), "prefix", "left_semi")
+    slots = [wanted]
+    if broadcasts > 1:
+        slot = F.pmod(F.xxhash64("prefix"), F.lit(broadcasts))
+        slots = [wanted.filter(slot == i) for i in range(broadcasts)]
+    parts = [reduce_rows(exploded.join(F.broadcast(some), "prefix", "left_semi")) for some in slots]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def hand_back(

@@ -33,6 +33,7 @@ def complete_stream_batch(
     path: str,
     case_sensitive: bool = True,
     ties: str = "last",
+    heavy_from: int | None = None,
 ) -> DataStreamWriter:
     """Answer every micro-batch from the dictionary itself, for prefixes of any length.
 
@@ -43,7 +44,7 @@ def complete_stream_batch(
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        completions = complete_batch(dictionary, batch, case_sensitive, ties)
+        completions = complete_batch(dictionary, batch, case_sensitive, ties, heavy_from=heavy_from)
         completions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return queries.writeStream.foreachBatch(answer)

@@ -277,6 +277,7 @@ def completion_sql() -> dict[str, str]:
         "complete_batch_ci": with_(WORDS, literal(MIXED_CASE, 10), ranked("words", "asked", False))
         + batch("words", "asked", False),
         "complete_batch_per_k": typed_batch + batch("words", "typed"),
+        "complete_batch_heavy_first": typed_batch + batch("words", "typed"),
         "complete_batch_dup_queries": event_batch,
         "complete_batch_unmatched": with_(WORDS, ask, ranked("words", "asked"))
         + """SELECT qid, rank, text, weight FROM asked

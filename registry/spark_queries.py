@@ -240,6 +240,11 @@ def completion_queries() -> dict[str, Query]:
         dictionary = fs.with_position(words(spark, sf_dir))
         return fs.complete_batch(dictionary, typed(spark, sf_dir), ties="scan")
 
+    def heavy_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+        dictionary = words(spark, sf_dir)
+        heavy_from = fs.heavy_weight(dictionary)
+        return fs.complete_batch(dictionary, typed(spark, sf_dir), heavy_from=heavy_from)
+
     def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "completions")
         fs.save_completion_table(fs.build_completion_table(words(spark, sf_dir), 3, 5), path)
@@ -287,6 +292,7 @@ def completion_queries() -> dict[str, Query]:
             words(s, d), fs.queries_from(s, MIXED_CASE, 10), case_sensitive=False
         ),
         "complete_batch_per_k": lambda s, d: fs.complete_batch(words(s, d), typed(s, d)),
+        "complete_batch_heavy_first": heavy_first,
         "complete_batch_dup_queries": lambda s, d: fs.complete_batch(words(s, d), event_prefixes(s, d)),
         "complete_batch_unmatched": lambda s, d: fs.complete_batch(
             words(s, d), literal(s), keep_unmatched=True

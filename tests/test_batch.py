@@ -14,10 +14,13 @@ from forespell.plans import prefixes as sizing
 from forespell.plans.prefixes import distinct_prefixes, explode_prefixes, profile_queries, with_prefix
 
 
-@pytest.fixture(params=["broadcast", "shuffled"])
-def either_way(request):
+@pytest.fixture(params=["broadcast", "several", "shuffled"])
+def either_way(request, monkeypatch):
     if request.param == "shuffled":
         request.getfixturevalue("shuffled")
+    if request.param == "several":
+        # the larger query tables then take two or three broadcasts
+        monkeypatch.setattr(sizing, "BROADCAST_ROWS", 8)
 
 
 def ask(spark, queries):
@@ -31,20 +34,33 @@ def by_query(df):
     return found
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("case_sensitive", [True, False])
+@pytest.mark.parametrize("seed, case_sensitive", [(0, True), (1, False)])
 def test_completions(spark, entries, either_way, seed, case_sensitive):
     pairs = random_pairs(seed, 150, "abAé", 5, 6)
-    queries = [(q, 1 + i % 5) for i, q in enumerate(random_prefixes(seed, 40, "abAé"))]
+    queries = [(q, 1 + i % 5) for i, q in enumerate(random_prefixes(seed, 12, "abAé"))]
     found = by_query(fs.complete_batch(entries(pairs), ask(spark, queries), case_sensitive))
     for qid, (q, k) in enumerate(queries):
         assert found.get(qid, []) == best(pairs, q, k, case_sensitive), q
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("share", [0.02, 0.5])
+def test_heavy_entries_first(spark, entries, either_way, share):
+    pairs = random_pairs(4, 300, "ab", 9, 8)
+    queries = [(q, 1 + i % 5) for i, q in enumerate(random_prefixes(4, 12, "ab"))]
+    dictionary = entries(pairs)
+    heavy_from = fs.heavy_weight(dictionary, share)
+    assert 1 <= heavy_from <= 9
+    answered = fs.complete_batch(dictionary, ask(spark, queries), heavy_from=heavy_from)
+    found = by_query(answered)
+    for qid, (q, k) in enumerate(queries):
+        assert found.get(qid, []) == best(pairs, q, k), q
+    assert fs.heavy_weight(entries([])) is None
+
+
+@pytest.mark.parametrize("seed", [0])
 def test_scan_ties(spark, entries, either_way, seed):
     pairs = random_pairs(seed, 150, "ab", 3, 7)
-    queries = [(q, 1 + i % 6) for i, q in enumerate(random_prefixes(seed, 30, "ab", 4))]
+    queries = [(q, 1 + i % 6) for i, q in enumerate(random_prefixes(seed, 12, "ab", 4))]
     dictionary = fs.with_position(entries(pairs))
     answered = fs.complete_batch(dictionary, ask(spark, queries), ties="scan", keep_unmatched=True)
     found = by_query(answered)
@@ -66,7 +82,7 @@ def test_unmatched_queries_can_be_kept(spark, entries, either_way):
 
 def test_counts_ranges_and_entries(spark, entries, either_way):
     pairs = random_pairs(11, 120, "abA", 9, 5)
-    asked = random_prefixes(11, 30, "abA")
+    asked = random_prefixes(11, 12, "abA")
     queries = ask(spark, [(q, 1) for q in asked])
     dictionary = entries(pairs)
     for case_sensitive in (True, False):
@@ -125,9 +141,10 @@ def test_profile(spark):
     queries = ask(spark, [("a", 1), ("a", 7), ("é", 2), ("", 3), ("abc", 1)])
     profile = profile_queries(distinct_prefixes(with_prefix(queries, True)))
     assert profile == (4, 6, 5, 2, 7, (0, 1, 3))
-    assert profile.fits_broadcast()
-    assert not profile._replace(prefixes=sizing.BROADCAST_ROWS + 1).fits_broadcast()
-    assert not profile._replace(prefix_bytes=sizing.BROADCAST_BYTES + 1).fits_broadcast()
+    assert profile.broadcasts() == 1
+    assert profile._replace(prefixes=sizing.BROADCAST_ROWS + 1).broadcasts() == 3
+    assert profile._replace(prefix_bytes=2 * sizing.BROADCAST_BYTES).broadcasts() == 4
+    assert profile._replace(prefixes=100 * sizing.BROADCAST_ROWS).broadcasts() == 0
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
