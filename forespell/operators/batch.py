@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forespell.functions import WORD_CHARS, fold
-from forespell.operators.prepare import match_key, number_rows, partition_offsets
+from forespell.operators.prepare import number_rows, partition_offsets
 from forespell.operators.topk import check_ties, scan_candidates, scan_order, scan_ties
 from forespell.plans.completion_table import heaviest_first
 from forespell.plans.prefixes import (
@@ -142,6 +142,10 @@ def match_entries(
     return exploded.join(wanted, "prefix").select("qid", "text", "weight")
 
 
+def _count_matches(exploded: DataFrame) -> DataFrame:
+    return exploded.groupBy("prefix").agg(F.count("*").alias("matches"))
+
+
 def match_counts(
     dictionary: DataFrame,
     queries: DataFrame,
@@ -152,12 +156,7 @@ def match_counts(
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
     profile = profile or profile_queries(distinct)
-    counts = reduce_by_prefix(
-        keyed_entries(dictionary, case_sensitive),
-        distinct,
-        profile,
-        lambda e: e.groupBy("prefix").agg(F.count("*").alias("matches")),
-    )
+    counts = reduce_by_prefix(keyed_entries(dictionary, case_sensitive), distinct, profile, _count_matches)
     returned = hand_back(asked, counts, distinct, profile, "left")
     return returned.select("qid", F.coalesce("matches", F.lit(0)).alias("matches"))
 
@@ -170,13 +169,75 @@ def prefix_ranges(
 ) -> DataFrame:
     """``qid, lb, rb``: the half-open range of sorted positions each query covers.
 
-    Entries and distinct prefixes are sorted together, a prefix before the
-    entries it is not larger than; the entries in front of it are its ``lb``.
+    As long as the queries and their own prefixes can be broadcast, the ranges
+    come from counts: the entries in front of a prefix are those that leave its
+    path at some character for a smaller one. Beyond that entries and prefixes
+    are sorted together.
     """
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
     profile = profile or profile_queries(distinct)
-    entries = dictionary.select(match_key(dictionary, case_sensitive).alias("key"), F.lit(1).alias("entry"))
+    keyed = keyed_entries(dictionary, case_sensitive)
+    steps = _path_steps(distinct)
+    nodes = distinct_prefixes(steps.select(F.col("node").alias("prefix")))
+    nodes_profile = profile_queries(nodes)
+    if nodes_profile.broadcasts() == 1:
+        ranges = _ranges_by_counting(keyed, steps, nodes, nodes_profile)
+    else:
+        ranges = _ranges_by_sorting(keyed, distinct, profile)
+    return hand_back(asked, ranges, distinct, profile).select("qid", "lb", "rb")
+
+
+def _path_steps(distinct: DataFrame) -> DataFrame:
+    """``prefix, node, next``: each prefix with its own prefixes and the character after.
+
+    The last step of a prefix is the prefix itself, followed by the empty string.
+    """
+    depth = F.explode(F.sequence(F.lit(0), F.length("prefix")))
+    return distinct.select("prefix", depth.alias("_n")).select(
+        "prefix",
+        F.left(F.col("prefix"), F.col("_n")).alias("node"),
+        F.substring("prefix", F.col("_n") + 1, F.lit(1)).alias("next"),
+    )
+
+
+def _ranges_by_counting(
+    keyed: DataFrame, steps: DataFrame, nodes: DataFrame, nodes_profile: QueryProfile
+) -> DataFrame:
+    """``prefix, lb, rb`` from one scan of the dictionary with map-side sums."""
+
+    def branches(exploded: DataFrame) -> DataFrame:
+        following = F.substring("key", F.length("prefix") + 1, F.lit(1))
+        return exploded.groupBy("prefix", following.alias("next")).agg(F.count("*").alias("matches"))
+
+    counted = reduce_by_prefix(keyed, nodes, nodes_profile, branches)
+    # a query may take a branch that no entry takes
+    taken = steps.select(F.col("node").alias("prefix"), "next", F.lit(0).cast("bigint").alias("matches"))
+    branch = counted.unionByName(taken).groupBy("prefix", "next").agg(F.sum("matches").alias("matches"))
+    siblings = Window.partitionBy("prefix")
+    smaller = siblings.orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
+    placed = branch.select(
+        F.col("prefix").alias("node"),
+        "next",
+        F.coalesce(F.sum("matches").over(smaller), F.lit(0)).alias("smaller"),
+        F.sum("matches").over(siblings).alias("inside"),
+    )
+    arrived = F.when(F.col("node") == F.col("prefix"), F.col("inside"))
+    return (
+        steps.join(placed, ["node", "next"])
+        .groupBy("prefix")
+        .agg(F.sum("smaller").alias("lb"), F.max(arrived).alias("inside"))
+        .select("prefix", "lb", (F.col("lb") + F.col("inside")).alias("rb"))
+    )
+
+
+def _ranges_by_sorting(keyed: DataFrame, distinct: DataFrame, profile: QueryProfile) -> DataFrame:
+    """``prefix, lb, rb`` from sorting entries and prefixes together.
+
+    A prefix comes before the entries it is not larger than, so the entries in
+    front of it are its ``lb``.
+    """
+    entries = keyed.select("key", F.lit(1).alias("entry"))
     marks = distinct.select(F.col("prefix").alias("key"), F.lit(0).alias("entry"))
     numbered = number_rows(entries.union(marks), [F.col("key"), F.col("entry")])
     offsets = partition_offsets(numbered, F.col("entry"))
@@ -187,16 +248,10 @@ def prefix_ranges(
         .join(F.broadcast(offsets), "part")
         .select(F.col("key").alias("prefix"), (F.col("before") + F.col("row") - F.col("_marks")).alias("lb"))
     )
-    counts = reduce_by_prefix(
-        keyed_entries(dictionary, case_sensitive),
-        distinct,
-        profile,
-        lambda e: e.groupBy("prefix").agg(F.count("*").alias("matches")),
-    )
-    ranges = bounds.join(counts, "prefix", "left").select(
+    counts = reduce_by_prefix(keyed, distinct, profile, _count_matches)
+    return bounds.join(counts, "prefix", "left").select(
         "prefix", "lb", (F.col("lb") + F.coalesce("matches", F.lit(0))).alias("rb")
     )
-    return hand_back(asked, ranges, distinct, profile).select("qid", "lb", "rb")
 
 
 def word_start_matches(dictionary: DataFrame, queries: DataFrame) -> DataFrame:
