@@ -11,20 +11,28 @@ from forespell.operators.batch import complete_batch
 
 
 def complete_stream(
-    queries: DataFrame, table: DataFrame, k: int | Column = 5, case_sensitive: bool = True
+    queries: DataFrame,
+    table: DataFrame,
+    max_len: int,
+    k: int | Column = 5,
+    case_sensitive: bool = True,
 ) -> DataFrame:
     """The stream with ``completions``, an array of up to ``k`` entries.
 
-    A stream-static left join with a completion table (built for at least ``k``
-    and for prefixes at least as long as the ones that arrive). Every query
-    keeps its row; without a match the array is empty.
+    A stream-static left join with a completion table that was built for
+    ``max_len`` and for at least ``k``; batch queries work too. Every query keeps
+    its row. Without a match the array is empty. The table cannot tell about a
+    prefix longer than ``max_len``: its completions are null, and
+    ``complete_stream_batch`` is the way to answer it.
     """
     k = F.lit(k) if isinstance(k, int) else k
     prefix = F.col("q") if case_sensitive else fold("q")
     answers = table.select(F.col("prefix").alias("_prefix"), "completions")
     joined = queries.join(answers, prefix == F.col("_prefix"), "left")
-    found = F.coalesce(F.slice("completions", F.lit(1), k), F.array().cast(answers.schema["completions"].dataType))
-    return joined.select(*[F.col(c) for c in queries.columns], found.alias("completions"))
+    nothing = F.array().cast(answers.schema["completions"].dataType)
+    found = F.coalesce(F.slice("completions", F.lit(1), k), nothing)
+    known = F.when(F.length("q") <= max_len, found)
+    return joined.select(*[F.col(c) for c in queries.columns], known.alias("completions"))
 
 
 def complete_stream_batch(

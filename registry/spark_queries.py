@@ -263,7 +263,7 @@ def completion_queries() -> dict[str, Query]:
         built = scratch_path(spark, "completions")
         fs.save_completion_table(fs.build_completion_table(words(spark, sf_dir), 4, 3), built)
         answered = fs.complete_stream(
-            event_stream(spark, sf_dir), fs.load_completion_table(spark, built), F.col("k")
+            event_stream(spark, sf_dir), fs.load_completion_table(spark, built), 4, F.col("k")
         )
         writer = answered.writeStream.format("parquet").option("checkpointLocation", f"{path}/state")
         writer.trigger(availableNow=True).start(f"{path}/answers").awaitTermination()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import forespell as fs
 
-ASKED = ["C", "San", "Roma", "", "C", "castellammare"]
+ASKED = ["C", "San", "Ro", "", "C", "castellammare", "xyz"]
 
 
 @pytest.fixture
@@ -27,15 +27,21 @@ def run(writer, state):
 @pytest.mark.parametrize("case_sensitive", [True, False])
 def test_stream_against_the_table(spark, entries, lines, tmp_path, case_sensitive):
     built = str(tmp_path / "table")
-    fs.save_completion_table(fs.build_completion_table(entries(CITIES), 15, 5, case_sensitive), built)
+    fs.save_completion_table(fs.build_completion_table(entries(CITIES), 3, 5, case_sensitive), built)
     asked = fs.stream_queries(spark, lines, 3)
-    answered = fs.complete_stream(asked, fs.load_completion_table(spark, built), F.col("k"), case_sensitive)
+    answered = fs.complete_stream(
+        asked, fs.load_completion_table(spark, built), 3, F.col("k"), case_sensitive
+    )
     out = str(tmp_path / "out")
     run(answered.writeStream.format("parquet").option("path", out), tmp_path / "state")
     rows = spark.read.schema(answered.schema).parquet(out).collect()
     assert sorted(r.q for r in rows) == sorted(ASKED)
     for row in rows:
-        assert [tuple(e) for e in row.completions] == best(CITIES, row.q, 3, case_sensitive)
+        if len(row.q) > 3:
+            # not for the table to answer
+            assert row.completions is None
+        else:
+            assert [tuple(e) for e in row.completions] == best(CITIES, row.q, 3, case_sensitive)
 
 
 def test_stream_against_the_dictionary(spark, entries, lines, tmp_path):
