@@ -6,6 +6,7 @@ from forespell.functions.text import (
     common_prefix,
     fold,
     fold_literal,
+    match_key,
     parse_weight,
     quote_regex,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "common_prefix",
     "fold",
     "fold_literal",
+    "match_key",
     "parse_weight",
     "quote_regex",
 ]

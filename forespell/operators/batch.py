@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from forespell.functions import WORD_CHARS, fold
 from forespell.operators.prepare import number_rows, partition_offsets
 from forespell.operators.topk import check_ties, scan_candidates, scan_order, scan_ties
-from forespell.plans.completion_table import heaviest_first
 from forespell.plans.prefixes import (
     BROADCAST_ROWS,
     QueryProfile,
     distinct_prefixes,
     explode_prefixes,
     hand_back,
+    heaviest_first,
     keyed_entries,
     profile_queries,
     reduce_by_prefix,
+    spelled,
     with_prefix,
 )
 from forespell.plans.topn import top_n
@@ -51,7 +52,7 @@ def complete_batch(
     if ties == "scan":
         return _complete_scan(dictionary, asked, distinct, profile, case_sensitive, how)
     answers = best_per_prefix(dictionary, distinct, profile, case_sensitive, heavy_from)
-    returned = hand_back(asked, answers.select("prefix", "rank", "text", "weight"), distinct, profile, how)
+    returned = hand_back(asked, answers, distinct, profile, how)
     # a query may ask for fewer than its prefix was answered for
     wanted = F.col("rank") <= F.col("k")
     kept = returned.filter(wanted | F.col("rank").isNull() if keep_unmatched else wanted)
@@ -74,14 +75,13 @@ def best_per_prefix(
     case_sensitive: bool = True,
     heavy_from: int | None = None,
 ) -> DataFrame:
-    """``prefix, rank, key, text, weight`` for the prefixes in ``distinct``."""
+    """``prefix, rank, text, weight`` for the prefixes in ``distinct``."""
     keyed = keyed_entries(dictionary, case_sensitive)
-    k = profile.max_k
+    order, k = heaviest_first(keyed), profile.max_k
 
     def ranked(entries: DataFrame, wanted: DataFrame) -> DataFrame:
-        return reduce_by_prefix(
-            entries, wanted, profile, lambda exploded: top_n(exploded, ["prefix"], heaviest_first(), k)
-        )
+        rows = reduce_by_prefix(entries, wanted, profile, lambda e: top_n(e, ["prefix"], order, k))
+        return spelled(rows).select("prefix", "rank", "text", "weight")
 
     if heavy_from is None:
         return ranked(keyed, distinct)
@@ -110,7 +110,7 @@ def _complete_scan(
     )
     wanted = asked.select("prefix", "k").distinct()
     finished = scan_ties(candidates.join(wanted, "prefix"), ["prefix", "k"], F.col("k"))
-    finished = finished.select("prefix", F.col("k").alias("_k"), "rank", "text", "weight")
+    finished = spelled(finished).select("prefix", F.col("k").alias("_k"), "rank", "text", "weight")
     returned = hand_back(asked, finished, distinct, profile).filter(F.col("k") == F.col("_k"))
     returned = returned.select("qid", "rank", "text", "weight")
     if how == "inner":
@@ -139,7 +139,7 @@ def match_entries(
     wanted = asked.select("qid", "prefix")
     small = profile.broadcasts() == 1 and profile.queries <= BROADCAST_ROWS
     wanted = F.broadcast(wanted) if small else wanted.hint("shuffle_merge")
-    return exploded.join(wanted, "prefix").select("qid", "text", "weight")
+    return spelled(exploded.join(wanted, "prefix")).select("qid", "text", "weight")
 
 
 def _count_matches(exploded: DataFrame) -> DataFrame:

@@ -7,8 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forespell.functions import WORD_CHARS, fold_literal, quote_regex
-from forespell.operators.prepare import match_key
+from forespell.functions import WORD_CHARS, fold_literal, match_key, quote_regex
 
 _WORD_CHAR = re.compile(f"[{WORD_CHARS}]")
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forespell.functions import common_prefix
+from forespell.functions import common_prefix, match_key
 from forespell.operators.filters import prefix_filter
-from forespell.operators.prepare import match_key
 from forespell.plans.prefixes import (
     QueryProfile,
     distinct_prefixes,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forespell.functions import byte_length, fold
+from forespell.functions import byte_length, fold, match_key
 from forespell.session import cut_lineage
 
 # Equal rows that may sit in one partition of a sort.
@@ -21,13 +21,6 @@ def with_folded(dictionary: DataFrame) -> DataFrame:
     return dictionary.withColumn("folded", fold("text"))
 
 
-def match_key(dictionary: DataFrame, case_sensitive: bool) -> Column:
-    """The column a prefix is compared with."""
-    if case_sensitive:
-        return F.col("text")
-    return F.col("folded") if "folded" in dictionary.columns else fold("text")
-
-
 def spread_copies(df: DataFrame) -> DataFrame:
     """The same rows with ``_chunk``, so that no more than ``COPIES_PER_CHUNK`` are alike.
 

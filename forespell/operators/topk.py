@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forespell.functions import match_key
 from forespell.operators.filters import prefix_filter, range_filter
-from forespell.operators.prepare import match_key
 
 TIES = ("last", "scan")
 

@@ -8,21 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.plans.prefixes import explode_prefixes, keyed_entries
+from forespell.plans.prefixes import explode_prefixes, heaviest_first, keyed_entries, spelled
 from forespell.plans.topn import top_n
 
-def heaviest_first() -> list[Column]:
-    """The total order of completions: heavier first, then the larger text."""
-    return [F.desc("weight"), F.desc("key"), F.desc("text")]
-
 
 def exploded_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame:
-    """``prefix, rank, key, text, weight`` by exploding every entry into its prefixes."""
+    """``prefix, rank`` and the columns of ``keyed``, by exploding every entry into its prefixes."""
     exploded = explode_prefixes(keyed, "key", tuple(lengths))
-    return top_n(exploded, ["prefix"], heaviest_first(), k)
+    return top_n(exploded, ["prefix"], heaviest_first(keyed), k)
 
 
 def rolled_up_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame:
@@ -34,7 +30,7 @@ def rolled_up_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFram
     survivors alone. The order is total, which makes this exact.
     """
     longest = F.left(F.col("key"), F.lit(max(lengths)))
-    survivors = top_n(keyed.withColumn("longest", longest), ["longest"], heaviest_first(), k)
+    survivors = top_n(keyed.withColumn("longest", longest), ["longest"], heaviest_first(keyed), k)
     return exploded_rows(survivors.drop("longest", "rank"), lengths, k)
 
 
@@ -45,14 +41,6 @@ def pack_completions(rows: DataFrame) -> DataFrame:
     return rows.groupBy("prefix").agg(entries.alias("completions"))
 
 
-def _lengths(max_len: int, k: int) -> range:
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    if max_len < 0:
-        raise ValueError("max_len must not be negative")
-    return range(max_len + 1)
-
-
 def completion_rows(
     dictionary: DataFrame,
     max_len: int,
@@ -74,7 +62,7 @@ def completion_rows(
         raise ValueError(f"method must be 'explode' or 'rollup', not {method!r}")
     build = rolled_up_rows if method == "rollup" else exploded_rows
     rows = build(keyed_entries(dictionary, case_sensitive), range(max_len + 1), k)
-    return rows.select("prefix", "rank", "text", "weight")
+    return spelled(rows).select("prefix", "rank", "text", "weight")
 
 
 def build_completion_table(

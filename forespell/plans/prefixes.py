@@ -15,8 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forespell.functions import fold
-from forespell.operators.prepare import match_key
+from forespell.functions import fold, match_key
 
 # One broadcast holds at most this many distinct prefixes, and bytes of them. More
 # are split over several broadcasts, each with its own pass over the dictionary;
@@ -96,9 +95,24 @@ def explode_prefixes(keyed: DataFrame, key: str, lengths: tuple[int, ...]) -> Da
 
 
 def keyed_entries(dictionary: DataFrame, case_sensitive: bool, *extra: str) -> DataFrame:
-    """``key, text, weight`` and any extra columns."""
+    """``key, weight`` and any extra columns, plus ``text`` where it differs from the key.
+
+    These rows are exploded and sorted, so the text is not carried twice.
+    """
     key: Column = match_key(dictionary, case_sensitive)
-    return dictionary.select(key.alias("key"), "text", "weight", *extra)
+    spelling = () if case_sensitive else ("text",)
+    return dictionary.select(key.alias("key"), "weight", *spelling, *extra)
+
+
+def spelled(rows: DataFrame) -> DataFrame:
+    """Give the rows their ``text`` back."""
+    return rows if "text" in rows.columns else rows.withColumn("text", F.col("key"))
+
+
+def heaviest_first(keyed: DataFrame) -> list[Column]:
+    """The total order of completions: heavier first, then the larger key, then the larger text."""
+    spelling = [F.desc("text")] if "text" in keyed.columns else []
+    return [F.desc("weight"), F.desc("key"), *spelling]
 
 
 def reduce_by_prefix(

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from forespell.operators.prepare import match_key
+from forespell.functions import match_key
+
 
 _PLAIN = "text STRING, weight BIGINT"
 _FOLDED = "text STRING, weight BIGINT, folded STRING"
