@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forespell.functions import WORD_CHARS, fold
@@ -291,16 +291,26 @@ def suggestions_rows(completions: DataFrame) -> DataFrame:
 
 
 def suggestions_json(completions: DataFrame) -> DataFrame:
-    """``qid, json``: one suggestion document per query, heaviest first.
+    """One suggestion document ``json`` per query, heaviest first.
 
-    Give it completions made with ``keep_unmatched=True`` and a query without
-    any gets an empty list. A query has at most ``k`` rows, so its group is
-    small.
+    From ``qid, rank, text, weight`` it returns ``qid, json``. Give it
+    completions made with ``keep_unmatched=True`` and a query without any gets an
+    empty list. A query has at most ``k`` rows, so its group is small. Rows that
+    hold an array ``completions`` (streams, the completion table) need no
+    grouping: the array is replaced by ``json``, null where it is null.
     """
+    if "completions" in completions.columns:
+        document = _suggestion_document(F.col("completions"))
+        known = F.when(F.col("completions").isNotNull(), document)
+        return completions.withColumn("json", known).drop("completions")
     found = F.when(F.col("rank").isNotNull(), F.struct("rank", "text"))
     ordered = F.array_sort(F.collect_list(found))
+    return completions.groupBy("qid").agg(_suggestion_document(ordered).alias("json"))
+
+
+def _suggestion_document(entries: Column) -> Column:
+    """Ordered entries with ``text`` as JSON; the 0-based place is a string."""
     suggestions = F.transform(
-        ordered,
-        lambda s: F.struct(s["text"].alias("value"), (s["rank"] - 1).cast("string").alias("data")),
+        entries, lambda e, place: F.struct(e["text"].alias("value"), place.cast("string").alias("data"))
     )
-    return completions.groupBy("qid").agg(F.to_json(F.struct(suggestions.alias("suggestions"))).alias("json"))
+    return F.to_json(F.struct(suggestions.alias("suggestions")))

@@ -87,8 +87,9 @@ def batch(words: str, queries: str, case_sensitive: bool = True) -> str:
 
 
 def one(source: str, condition: str, k: int, key: str = "text") -> str:
-    return f"""SELECT CAST(row_number() OVER (ORDER BY weight DESC, {key} DESC, text DESC) AS INTEGER) AS rank, text, weight
-FROM {source} WHERE {condition} ORDER BY weight DESC, {key} DESC, text DESC LIMIT {k}"""
+    order = f"weight DESC, {key} DESC, text DESC"
+    return f"""SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, text, weight
+FROM {source} WHERE {condition} ORDER BY {order} LIMIT {k}"""
 
 
 def table_rows(max_len: int, k: int, case_sensitive: bool = True) -> str:
@@ -97,7 +98,8 @@ def table_rows(max_len: int, k: int, case_sensitive: bool = True) -> str:
   SELECT prefix, text, weight, CAST(row_number() OVER (
     PARTITION BY prefix ORDER BY weight DESC, key DESC, text DESC) AS INTEGER) AS rank
   FROM (SELECT left(key, n) AS prefix, key, text, weight
-        FROM (SELECT *, {key} AS key FROM words) JOIN (SELECT CAST(range AS INTEGER) AS n FROM range({max_len + 1})) ON n <= length(key)))
+        FROM (SELECT *, {key} AS key FROM words)
+        JOIN (SELECT CAST(range AS INTEGER) AS n FROM range({max_len + 1})) ON n <= length(key)))
 WHERE rank <= {k}"""
 
 
@@ -118,6 +120,13 @@ def positions(source: str) -> str:
     return f"positioned AS (SELECT text, weight, row_number() OVER (ORDER BY text) - 1 AS pos FROM {source})"
 
 
+def documents(queries: str, k: int) -> str:
+    return f"""SELECT qid, CAST(to_json({{'suggestions': coalesce(
+  list({{'value': text, 'data': CAST(rank - 1 AS VARCHAR)}} ORDER BY rank) FILTER (WHERE rank IS NOT NULL), [])}})
+  AS VARCHAR) AS json
+FROM {queries} LEFT JOIN (SELECT * FROM ranked WHERE rank <= {k}) ON q = prefix GROUP BY qid"""
+
+
 def dictionary_sql() -> dict[str, str]:
     def survivor(order: str) -> str:
         return with_(WORDS, FOLDED) + f"""SELECT text, weight, folded FROM (
@@ -184,8 +193,8 @@ def lookup_sql() -> dict[str, str]:
 
     def counted(queries_cte: str, queries: str, case_sensitive: bool) -> str:
         q = "q" if case_sensitive else FOLD.format("q")
-        return with_(WORDS, queries_cte, ranked("words", queries, case_sensitive)) + f"""SELECT qid, coalesce(n, 0) AS matches
-FROM {queries} LEFT JOIN (SELECT prefix, count(*) AS n FROM pairs GROUP BY prefix) ON {q} = prefix"""
+        return with_(WORDS, queries_cte, ranked("words", queries, case_sensitive)) + f"""
+SELECT qid, coalesce(n, 0) AS matches FROM {queries} LEFT JOIN (SELECT prefix, count(*) AS n FROM pairs GROUP BY prefix) ON {q} = prefix"""
 
     def bounds(queries_cte: str, queries: str, case_sensitive: bool) -> str:
         q = "q" if case_sensitive else FOLD.format("q")
@@ -246,7 +255,8 @@ FROM words WHERE starts_with(text, 'th') GROUP BY 1""",
   FROM pairs GROUP BY 1, 2)
 SELECT qid, next, matches, max_weight FROM typed JOIN facets ON q = prefix""",
         "common_extension": with_(URLS)
-        + f"SELECT {common} AS extension FROM (SELECT min(text) AS a, max(text) AS b FROM urls WHERE starts_with(text, 'https://w'))",
+        + f"""SELECT {common} AS extension
+FROM (SELECT min(text) AS a, max(text) AS b FROM urls WHERE starts_with(text, 'https://w'))""",
         "common_extensions": with_(CUSTOMERS, literal(["", "C", "Cust", "Customer#00000012", "x"]))
         + f""", ends AS (
   SELECT qid, min(text) AS a, max(text) AS b FROM asked LEFT JOIN customers ON starts_with(text, q) GROUP BY qid)
@@ -298,15 +308,14 @@ JOIN kept ON typed.q = kept.q AND typed.k = kept.k WHERE rank <= typed.k""",
         "completion_table_packed": table_rows(2, 10),
         "stored_completion_table": table_rows(3, 5) + " AND length(prefix) = 2",
         "suggestions_rows": ten
-        + "SELECT qid, text AS value, CAST(rank - 1 AS VARCHAR) AS data FROM asked JOIN ranked ON q = prefix WHERE rank <= k",
-        "suggestions_json": ten
-        + """SELECT qid, CAST(to_json({'suggestions': coalesce(
-  list({'value': text, 'data': CAST(rank - 1 AS VARCHAR)} ORDER BY rank) FILTER (WHERE rank IS NOT NULL), [])})
-  AS VARCHAR) AS json
-FROM asked LEFT JOIN (SELECT * FROM ranked WHERE rank <= 10) ON q = prefix GROUP BY qid""",
+        + """SELECT qid, text AS value, CAST(rank - 1 AS VARCHAR) AS data
+FROM asked JOIN ranked ON q = prefix WHERE rank <= k""",
+        "suggestions_json": ten + documents("asked", 10),
         "result_lines": typed_batch
         + "SELECT qid, rank, text || '  ' || weight AS line FROM typed JOIN ranked ON q = prefix WHERE rank <= k",
         "complete_stream": event_batch,
+        "complete_stream_json": with_(WORDS, EVENT_PREFIXES, ranked("words", "event_prefixes"))
+        + documents("event_prefixes", 3),
         "complete_stream_batch": event_batch,
     }
 

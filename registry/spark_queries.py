@@ -258,19 +258,28 @@ def completion_queries() -> dict[str, Query]:
             F.col("event_id").alias("qid"), F.left("event_type", reach).alias("q"), F.lit(3).alias("k")
         )
 
-    def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = scratch_path(spark, "stream")
+    def answered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = scratch_path(spark, "completions")
         fs.save_completion_table(fs.build_completion_table(words(spark, sf_dir), 4, 3), built)
-        answered = fs.complete_stream(
-            event_stream(spark, sf_dir), fs.load_completion_table(spark, built), 4, F.col("k")
-        )
-        writer = answered.writeStream.format("parquet").option("checkpointLocation", f"{path}/state")
+        table = fs.load_completion_table(spark, built)
+        return fs.complete_stream(event_stream(spark, sf_dir), table, 4, F.col("k"))
+
+    def drained(stream: DataFrame) -> DataFrame:
+        """Run the stream over what is there now and read its output back."""
+        spark = stream.sparkSession
+        path = scratch_path(spark, "stream")
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state")
         writer.trigger(availableNow=True).start(f"{path}/answers").awaitTermination()
-        rows = spark.read.schema(answered.schema).parquet(f"{path}/answers")
+        return spark.read.schema(stream.schema).parquet(f"{path}/answers")
+
+    def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = drained(answered_stream(spark, sf_dir))
         flat = rows.select("qid", F.posexplode("completions").alias("place", "entry"))
         return flat.select("qid", (F.col("place") + 1).alias("rank"), "entry.text", "entry.weight")
 
+    def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return drained(fs.suggestions_json(answered_stream(spark, sf_dir))).select("qid", "json")
+
     def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "stream")
         writer = fs.complete_stream_batch(event_stream(spark, sf_dir), words(spark, sf_dir), f"{path}/answers")
@@ -309,6 +318,7 @@ def completion_queries() -> dict[str, Query]:
         ),
         "result_lines": lambda s, d: fs.to_lines(fs.complete_batch(words(s, d), typed(s, d))),
         "complete_stream": stream_lookup,
+        "complete_stream_json": stream_documents,
         "complete_stream_batch": stream_batches,
     }
 

@@ -181,3 +181,13 @@ def test_shapes_of_the_answer(spark, entries):
     matched = answered.filter("rank IS NOT NULL")
     assert {tuple(r) for r in fs.suggestions_rows(matched).collect()} == {(0, pairs[0][0], "0"), (0, "ab", "1")}
     assert [r.line for r in fs.to_lines(matched).orderBy("rank").collect()] == [f"{t}  {w}" for t, w in pairs]
+
+
+def test_documents_from_packed_completions(spark, entries):
+    table = fs.build_completion_table(entries(CITIES), 2, 2)
+    documents = {r.prefix: json.loads(r.json) for r in fs.suggestions_json(table).collect()}
+    assert documents["Ca"] == {
+        "suggestions": [{"value": "Catania", "data": "0"}, {"value": "Cagliari", "data": "1"}]
+    }
+    unknown = spark.createDataFrame([(1, None)], "qid BIGINT, completions ARRAY<STRUCT<text: STRING, weight: BIGINT>>")
+    assert fs.suggestions_json(unknown).collect() == [(1, None)]
