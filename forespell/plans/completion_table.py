@@ -7,6 +7,7 @@ entries share the prefix.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from forespell.plans.prefixes import explode_prefixes, heaviest_first, keyed_entries, spelled
 from forespell.plans.topn import top_n
 
+# How many prefix lengths are exploded from one set of survivors.
+LENGTHS_PER_CUT = 5
+
 
 def exploded_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame:
     """``prefix, rank`` and the columns of ``keyed``, by exploding every entry into its prefixes."""
@@ -21,17 +25,24 @@ def exploded_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame
     return top_n(exploded, ["prefix"], heaviest_first(keyed), k)
 
 
-def rolled_up_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame:
-    """The same rows, with the dictionary cut before it is exploded.
+def rolled_up_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> list[DataFrame]:
+    """The same rows, with the dictionary cut before it is exploded; one part per cut.
 
     An entry among the best ``k`` of a prefix is also among the best ``k`` of
     every longer prefix of its own. So what is not among the best of its longest
     prefix is in no list at all, and the shorter lists are made from the
     survivors alone. The order is total, which makes this exact.
+
+    With many lengths the shorter half starts from survivors that are cut again;
+    both halves read the same exchange.
     """
     longest = F.left(F.col("key"), F.lit(max(lengths)))
     survivors = top_n(keyed.withColumn("longest", longest), ["longest"], heaviest_first(keyed), k)
-    return exploded_rows(survivors.drop("longest", "rank"), lengths, k)
+    survivors = survivors.drop("longest", "rank")
+    if len(lengths) <= LENGTHS_PER_CUT:
+        return [exploded_rows(survivors, lengths, k)]
+    half = len(lengths) // 2
+    return [exploded_rows(survivors, lengths[half:], k), *rolled_up_rows(survivors, lengths[:half], k)]
 
 
 def pack_completions(rows: DataFrame) -> DataFrame:
@@ -41,6 +52,24 @@ def pack_completions(rows: DataFrame) -> DataFrame:
     return rows.groupBy("prefix").agg(entries.alias("completions"))
 
 
+def _ranked_parts(
+    dictionary: DataFrame, max_len: int, k: int, case_sensitive: bool, method: str
+) -> list[DataFrame]:
+    """``prefix, rank, text, weight``; no prefix is in two parts."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    if max_len < 0:
+        raise ValueError("max_len must not be negative")
+    if method not in ("explode", "rollup"):
+        raise ValueError(f"method must be 'explode' or 'rollup', not {method!r}")
+    keyed, lengths = keyed_entries(dictionary, case_sensitive), range(max_len + 1)
+    if method == "rollup":
+        parts = rolled_up_rows(keyed, lengths, k)
+    else:
+        parts = [exploded_rows(keyed, lengths, k)]
+    return [spelled(part).select("prefix", "rank", "text", "weight") for part in parts]
+
+
 def completion_rows(
     dictionary: DataFrame,
     max_len: int,
@@ -52,17 +81,9 @@ def completion_rows(
 
     ``method='explode'`` ranks every entry under each of its prefixes;
     ``'rollup'`` (the default) first drops what cannot be in any list, so that
-    only the survivors are sorted ``max_len + 1`` times. Both give the same rows.
+    only survivors are sorted once per length. Both give the same rows.
     """
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    if max_len < 0:
-        raise ValueError("max_len must not be negative")
-    if method not in ("explode", "rollup"):
-        raise ValueError(f"method must be 'explode' or 'rollup', not {method!r}")
-    build = rolled_up_rows if method == "rollup" else exploded_rows
-    rows = build(keyed_entries(dictionary, case_sensitive), range(max_len + 1), k)
-    return spelled(rows).select("prefix", "rank", "text", "weight")
+    return reduce(DataFrame.unionByName, _ranked_parts(dictionary, max_len, k, case_sensitive, method))
 
 
 def build_completion_table(
@@ -74,10 +95,11 @@ def build_completion_table(
 ) -> DataFrame:
     """``prefix, completions`` for all prefixes of 0 to ``max_len`` characters.
 
-    Packing the lists needs no further exchange: the rows are already
+    Packing the lists needs no further exchange: the rows of a part are already
     partitioned by prefix.
     """
-    return pack_completions(completion_rows(dictionary, max_len, k, case_sensitive, method))
+    parts = _ranked_parts(dictionary, max_len, k, case_sensitive, method)
+    return reduce(DataFrame.unionByName, map(pack_completions, parts))
 
 
 def save_completion_table(table: DataFrame, path: str) -> None:

@@ -193,8 +193,8 @@ def lookup_sql() -> dict[str, str]:
 
     def counted(queries_cte: str, queries: str, case_sensitive: bool) -> str:
         q = "q" if case_sensitive else FOLD.format("q")
-        return with_(WORDS, queries_cte, ranked("words", queries, case_sensitive)) + f"""
-SELECT qid, coalesce(n, 0) AS matches FROM {queries} LEFT JOIN (SELECT prefix, count(*) AS n FROM pairs GROUP BY prefix) ON {q} = prefix"""
+        return with_(WORDS, queries_cte, ranked("words", queries, case_sensitive)) + f""", inside AS (SELECT prefix, count(*) AS n FROM pairs GROUP BY prefix)
+SELECT qid, coalesce(n, 0) AS matches FROM {queries} LEFT JOIN inside ON {q} = prefix"""
 
     def bounds(queries_cte: str, queries: str, case_sensitive: bool) -> str:
         q = "q" if case_sensitive else FOLD.format("q")
@@ -304,6 +304,7 @@ LEFT JOIN (SELECT * FROM ranked WHERE rank <= 5) ON q = prefix""",
 JOIN kept ON typed.q = kept.q AND typed.k = kept.k WHERE rank <= typed.k""",
         "completion_table": table_rows(4, 3),
         "completion_rollup": table_rows(4, 3),
+        "completion_rollup_long": table_rows(12, 2),
         "completion_table_ci": table_rows(3, 5, case_sensitive=False),
         "completion_table_packed": table_rows(2, 10),
         "stored_completion_table": table_rows(3, 5) + " AND length(prefix) = 2",

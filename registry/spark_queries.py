@@ -309,6 +309,7 @@ def completion_queries() -> dict[str, Query]:
         "complete_batch_scan_ties": scan_batch,
         "completion_table": lambda s, d: fs.completion_rows(words(s, d), 4, 3, method="explode"),
         "completion_rollup": lambda s, d: fs.completion_rows(words(s, d), 4, 3),
+        "completion_rollup_long": lambda s, d: fs.completion_rows(words(s, d), 12, 2),
         "completion_table_ci": lambda s, d: fs.completion_rows(words(s, d), 3, 5, case_sensitive=False),
         "completion_table_packed": lambda s, d: unpacked(fs.build_completion_table(words(s, d), 2, 10)),
         "stored_completion_table": stored_table,

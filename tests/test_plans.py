@@ -9,6 +9,7 @@ from brute import best, fold, random_pairs, random_prefixes
 from cities import CITIES
 
 import forespell as fs
+from forespell.plans import completion_table
 from forespell.session import scratch_path, shared_dir
 
 
@@ -102,6 +103,19 @@ def test_completion_table(entries, method, case_sensitive):
         assert [tuple(e) for e in row.completions] == best(pairs, row.prefix, 4, case_sensitive)
 
 
+@pytest.mark.parametrize("case_sensitive", [True, False])
+def test_long_completion_table_is_cut_in_steps(entries, monkeypatch, case_sensitive):
+    monkeypatch.setattr(completion_table, "LENGTHS_PER_CUT", 2)
+    pairs = random_pairs(9, 300, "abA", 4, 8)
+    rolled = fs.completion_rows(entries(pairs), 7, 3, case_sensitive)
+    exploded = fs.completion_rows(entries(pairs), 7, 3, case_sensitive, method="explode")
+    rows = sorted(map(tuple, exploded.collect()))
+    assert sorted(map(tuple, rolled.collect())) == rows
+    packed = fs.build_completion_table(entries(pairs), 7, 3, case_sensitive)
+    unpacked = [(r.prefix, i, *e) for r in packed.collect() for i, e in enumerate(r.completions, 1)]
+    assert sorted(unpacked) == rows
+
+
 def test_completion_table_arguments(entries):
     with pytest.raises(ValueError):
         fs.completion_rows(entries(CITIES), 3, 0)
