@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forespell.functions import WORD_CHARS, fold
+from forespell.functions import WORD_CHARS
 from forespell.operators.prepare import number_rows, partition_offsets
 from forespell.operators.topk import check_ties, scan_candidates, scan_order, scan_ties
 from forespell.plans.prefixes import (
@@ -255,21 +255,22 @@ def _ranges_by_sorting(keyed: DataFrame, distinct: DataFrame, profile: QueryProf
 
 
 def word_start_matches(dictionary: DataFrame, queries: DataFrame) -> DataFrame:
-    """``qid, text, weight``: entries with a word that starts with the query.
+    """``qid, text, weight``: entries in which the query begins at a word boundary.
 
-    Case is ignored for ASCII letters, and a query must begin with a word
-    character. Every entry is cut at its word starts and the pieces meet the
+    The batch form of ``word_start_filter``; case is ignored by comparing lower
+    case. Every entry is cut at its word boundaries and the pieces meet the
     queries by equality. A piece is as long as the longest query, which is all
     that can matter.
     """
-    asked = with_prefix(queries, case_sensitive=False)
-    asked = asked.filter(F.col("prefix").rlike(f"^[{WORD_CHARS}]"))
+    asked = queries.withColumn("prefix", F.lower("q"))
     distinct = distinct_prefixes(asked)
     profile = profile_queries(distinct)
-    reach = max(profile.lengths, default=1) - 1
-    start = f"(?s)(?<![{WORD_CHARS}])(?=([{WORD_CHARS}].{{0,{reach}}}))"
-    pieces = F.array_distinct(F.regexp_extract_all(fold("text"), F.lit(start), F.lit(1)))
-    keyed = dictionary.select("text", "weight", F.explode(pieces).alias("key"))
+    reach = max(profile.lengths, default=0)
+    begins, ends = f"(?<![{WORD_CHARS}])(?=[{WORD_CHARS}])", f"(?<=[{WORD_CHARS}])(?![{WORD_CHARS}])"
+    piece = f"(?s)(?:{begins}|{ends})(?=(.{{1,{max(reach, 1)}}}))"
+    pieces = F.array_distinct(F.regexp_extract_all("text", F.lit(piece), F.lit(1)))
+    keyed = dictionary.select("text", "weight", F.explode(pieces).alias("piece"))
+    keyed = keyed.select("text", "weight", F.lower("piece").alias("key"))
 
     def once(exploded: DataFrame) -> DataFrame:
         # two words of one entry may start alike

@@ -109,17 +109,18 @@ def test_facets_and_extensions(spark, entries, either_way):
 
 
 def test_words_within_entries(spark, entries, either_way):
-    texts = ["San Remo", "pulsan", "x-SAN san", "in_san", "Élan santo", "a\nsan"]
-    queries = ask(spark, [("san", 1), ("r", 1), ("SAN R", 1), ("-x", 1)])
-    found = fs.word_start_matches(entries([(t, 1) for t in texts]), queries).collect()
-    got = {}
-    for row in found:
-        got.setdefault(row.qid, []).append(row.text)
-    assert {qid: sorted(t) for qid, t in got.items()} == {
-        0: sorted(["San Remo", "x-SAN san", "Élan santo", "a\nsan"]),
-        1: ["San Remo"],
-        2: ["San Remo"],
-    }
+    texts = ["San Remo", "pulsan", "x-SAN san", "in_san", "ÉLAN santo", "a\nsan", "né é", "--", "a-x", ""]
+    asked = ["san", "r", "SAN R", "-x", "-", "élan", "", " s", "\nSAN"]
+    dictionary = entries([(t, i) for i, t in enumerate(texts)])
+    found = fs.word_start_matches(dictionary, ask(spark, [(q, 1) for q in asked])).collect()
+    for qid, q in enumerate(asked):
+        one = sorted(map(tuple, fs.word_start_filter(dictionary, q).collect()))
+        assert sorted((r.text, r.weight) for r in found if r.qid == qid) == one, q
+    by_query = {q: sorted(r.text for r in found if r.qid == i) for i, q in enumerate(asked)}
+    assert by_query["san"] == ["San Remo", "a\nsan", "x-SAN san", "ÉLAN santo"]
+    # the boundary before a letter outside A-Z is the end of an ASCII word
+    assert by_query["élan"] == []
+    assert by_query["-x"] == ["a-x"]
 
 
 def test_no_queries_and_no_entries(spark, entries, either_way):
