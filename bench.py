@@ -105,7 +105,7 @@ def main() -> None:
 
     for n in (1_000, 100_000, 1_000_000):
         path = scratch_path(spark, "queries")
-        typed_prefixes(spark, n).write.parquet(path)
+        typed_prefixes(spark, n).repartition(int(CPUS)).write.parquet(path)
         batch = spark.read.parquet(path)
         took = timed(lambda batch=batch: run(fs.complete_batch(dictionary, batch)))
         seconds[f"complete_batch_{n}"] = took
