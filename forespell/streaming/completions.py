@@ -52,7 +52,12 @@ def complete_stream_batch(
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        completions = complete_batch(dictionary, batch, case_sensitive, ties, heavy_from=heavy_from)
-        completions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # measured, reduced and answered: read the source once for all three
+        batch.persist()
+        try:
+            completions = complete_batch(dictionary, batch, case_sensitive, ties, heavy_from=heavy_from)
+            completions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return queries.writeStream.foreachBatch(answer)
