@@ -219,3 +219,14 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     alone = F.coalesce(F.col("doc_id").eqNullSafe(component), F.lit(False))
     kept = F.when(F.col("n_shingles") == 0, F.lit(True)).when(component.isNotNull(), alone)
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def deduplicated(documents: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each group, with all its columns: the one with the smallest doc_id.
+
+    Equal rows count once. Rows without doc_id cannot be told from each other and stay.
+    """
+    found = near_duplicates(documents, words_per_shingle, similarity)
+    ids = written(found.filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
+    chosen = documents.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return chosen.select(documents.columns).union(documents.filter("doc_id is null"))

@@ -151,3 +151,13 @@ def score(documents: DataFrame, model: QualityModel) -> DataFrame:
             yield pa.record_batch({"doc_id": part.column("doc_id"), "score": pa.array(s), "predicted": pa.array((s >= 0.5).astype(np.int32))})
 
     return documents.select("doc_id", "text").mapInArrow(rows, "doc_id long, score double, predicted int")
+
+
+def accepted(documents: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of ``documents`` with a score of 0.5 or more, with all their columns."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in slices(batches, "text"):
+            yield part.filter(pa.array(model.scores(features(data, offsets)) >= 0.5))
+
+    return documents.mapInArrow(rows, documents.schema)

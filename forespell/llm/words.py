@@ -80,14 +80,22 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+class PrefixSums:
+    """Hashes of any spans of some bytes."""
+
+    def __init__(self, data: np.ndarray, table: np.ndarray = _AS_IS) -> None:
+        up, self.down = powers(len(data))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((table.astype(np.uint64) + np.uint64(1))[data] * up[: len(data)], out=self.sums[1:])
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of each span ``data[start:end]`` (none empty)."""
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _AS_IS) -> np.ndarray:
     """Hash of each span ``data[start:end]`` (none empty)."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((table.astype(np.uint64) + np.uint64(1))[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    return PrefixSums(data, table).spans(start, end) if len(start) else np.zeros(0, np.uint64)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, bare: bool = False) -> Words:
