@@ -65,7 +65,9 @@ class Pieces:
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(usable, np.int32)[order]
         self.scores = np.array([model.get_score(k) for k in usable])[order]
-        self.byte_score = float(self.scores.min() - 10)
+        # Below every piece of one character, so that bytes only stand in where there is none.
+        one = [model.get_score(k) for k in usable if len(model.id_to_piece(k)) == 1]
+        self.byte_score = float(min(one) - 10)
         self.lengths = sorted({len(t) for t in text})
         self.slot = np.full(1 << 21, -1, np.int32)
         places = (self.hashes >> np.uint64(43)).astype(np.int64)
