@@ -12,7 +12,12 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application."""
+    """Send the package to the executors, once per application, and keep Arrow batches small.
+
+    Rows here are whole texts; batches by count alone would hold any number of bytes.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one slice should hold; a single longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -63,7 +63,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``size`` of them."""
-    return _powers(1 << max(16, int(size).bit_length()))
+    return _powers(1 << max(16, (int(size) - 1).bit_length()))
 
 
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -147,13 +147,13 @@ def per_row(ufunc: np.ufunc, values: np.ndarray, first: np.ndarray, empty: float
     return out
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into runs of whole rows of about SLICE_BYTES: the rows, their bytes, their offsets."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut batches into runs of whole rows of about ``size`` bytes: the rows, their bytes, their offsets."""
     for batch in batches:
         data, offsets = buffer(batch.column(text))
         row = 0
         while row < batch.num_rows:
-            past = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
+            past = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
             past = min(max(past, row + 1), batch.num_rows)
             low, high = offsets[row], offsets[past]
             yield batch.slice(row, past - row), data[low:high], offsets[row : past + 1] - low
