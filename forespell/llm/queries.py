@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.llm import decontaminate, near_dup, pieces, quality, token_files, toxicity, warc
+from forespell.llm import decontaminate, near_dup, page_text, pieces, quality, token_files, toxicity, warc
 from forespell.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, similarity=0.85)
 
 
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return page_text.extract(pages, page_text.train(pages))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages")).filter("gap_end is null")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
