@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.llm import decontaminate, near_dup, neighbours, page_text, pieces, quality, token_files, toxicity, warc
+from forespell.llm import decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, token_files, toxicity, warc
 from forespell.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op5_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by how near they are to the language of the conversations."""
+    return loss_difference.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages")).filter("gap_end is null")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
