@@ -43,7 +43,7 @@ from forespell.llm.words import distinct, mix, packed, per_row, shingles, slices
 
 SAMPLES = 252
 SKETCH_WORDS = 8
-BLOCK = 4096
+BLOCK = 2048
 
 _DRAW = np.random.default_rng(20240)
 _FACTORS = (_DRAW.integers(0, 1 << 32, SAMPLES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
