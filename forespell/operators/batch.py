@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forespell.functions import WORD_CHARS
+from forespell.operators.filters import any_case, word_starts
 from forespell.operators.prepare import number_rows, partition_offsets
 from forespell.operators.topk import check_ties, scan_candidates, scan_order, scan_ties
 from forespell.plans.prefixes import (
+    BROADCAST_BYTES,
     BROADCAST_ROWS,
     QueryProfile,
     distinct_prefixes,
@@ -30,7 +31,6 @@ def complete_batch(
     case_sensitive: bool = True,
     ties: str = "last",
     keep_unmatched: bool = False,
-    profile: QueryProfile | None = None,
     heavy_from: int | None = None,
 ) -> DataFrame:
     """``qid, rank, text, weight``: the ``k`` best completions of every query.
@@ -38,8 +38,7 @@ def complete_batch(
     ``queries`` has ``qid, q, k`` with ``k`` at least 1 (``normalise_queries``).
     Each distinct prefix is answered once, for the largest ``k`` anyone asks,
     and the answer is handed back to all its queries. With ``keep_unmatched`` a
-    query without completions stays as one row of nulls. ``profile`` saves the
-    job that measures the queries when their size is known already.
+    query without completions stays as one row of nulls.
 
     ``heavy_from`` (see ``heavy_weight``) makes large batches cheaper without
     changing the answer: common prefixes are settled by the heavy entries alone.
@@ -47,7 +46,7 @@ def complete_batch(
     check_ties(ties)
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
-    profile = profile or profile_queries(distinct)
+    profile = profile_queries(distinct)
     how = "left" if keep_unmatched else "inner"
     if ties == "scan":
         return _complete_scan(dictionary, asked, distinct, profile, case_sensitive, how)
@@ -80,18 +79,19 @@ def best_per_prefix(
     order, k = heaviest_first(keyed), profile.max_k
 
     def ranked(entries: DataFrame, wanted: DataFrame) -> DataFrame:
-        rows = reduce_by_prefix(entries, wanted, profile, lambda e: top_n(e, ["prefix"], order, k))
-        return spelled(rows).select("prefix", "rank", "text", "weight")
+        # ranks above what anyone asked of a prefix end here, before they are handed back
+        rows = reduce_by_prefix(entries, wanted, profile, lambda e: top_n(e, ["prefix"], order, k), ["k"])
+        return spelled(rows).filter(F.col("rank") <= F.col("k")).select("prefix", "rank", "text", "weight", "k")
 
     if heavy_from is None:
-        return ranked(keyed, distinct)
-    # A prefix with k heavy matches is settled, for everything else is lighter.
+        return ranked(keyed, distinct).drop("k")
+    # A prefix with as many heavy matches as it needs is settled, for everything else is lighter.
     # What is common enough to be costly is settled here, on a small share of the
     # dictionary; the full pass is left with prefixes that match little.
     heavy = ranked(keyed.filter(F.col("weight") >= heavy_from), distinct)
-    settled = heavy.filter(F.col("rank") == k).select("prefix")
+    settled = heavy.filter(F.col("rank") == F.col("k")).select("prefix")
     remaining = ranked(keyed, distinct.join(settled, "prefix", "left_anti"))
-    return heavy.join(settled, "prefix", "left_semi").unionByName(remaining)
+    return heavy.join(settled, "prefix", "left_semi").unionByName(remaining).drop("k")
 
 
 def _complete_scan(
@@ -123,7 +123,6 @@ def match_entries(
     dictionary: DataFrame,
     queries: DataFrame,
     case_sensitive: bool = True,
-    profile: QueryProfile | None = None,
 ) -> DataFrame:
     """``qid, text, weight``: every entry that starts with the prefix of a query.
 
@@ -134,10 +133,10 @@ def match_entries(
     """
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
-    profile = profile or profile_queries(distinct)
+    profile = profile_queries(distinct)
     exploded = explode_prefixes(keyed_entries(dictionary, case_sensitive), "key", profile.lengths)
     wanted = asked.select("qid", "prefix")
-    small = profile.broadcasts() == 1 and profile.queries <= BROADCAST_ROWS
+    small = profile.broadcasts() == 1 and profile.queries <= BROADCAST_ROWS and profile.query_bytes <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted.hint("shuffle_merge")
     return spelled(exploded.join(wanted, "prefix")).select("qid", "text", "weight")
 
@@ -150,12 +149,11 @@ def match_counts(
     dictionary: DataFrame,
     queries: DataFrame,
     case_sensitive: bool = True,
-    profile: QueryProfile | None = None,
 ) -> DataFrame:
     """``qid, matches``: how many entries start with each query; 0 is reported too."""
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
-    profile = profile or profile_queries(distinct)
+    profile = profile_queries(distinct)
     counts = reduce_by_prefix(keyed_entries(dictionary, case_sensitive), distinct, profile, _count_matches)
     returned = hand_back(asked, counts, distinct, profile, "left")
     return returned.select("qid", F.coalesce("matches", F.lit(0)).alias("matches"))
@@ -165,7 +163,6 @@ def prefix_ranges(
     dictionary: DataFrame,
     queries: DataFrame,
     case_sensitive: bool = True,
-    profile: QueryProfile | None = None,
 ) -> DataFrame:
     """``qid, lb, rb``: the half-open range of sorted positions each query covers.
 
@@ -176,7 +173,7 @@ def prefix_ranges(
     """
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
-    profile = profile or profile_queries(distinct)
+    profile = profile_queries(distinct)
     keyed = keyed_entries(dictionary, case_sensitive)
     steps = _path_steps(distinct)
     nodes = distinct_prefixes(steps.select(F.col("node").alias("prefix")))
@@ -257,20 +254,16 @@ def _ranges_by_sorting(keyed: DataFrame, distinct: DataFrame, profile: QueryProf
 def word_start_matches(dictionary: DataFrame, queries: DataFrame) -> DataFrame:
     """``qid, text, weight``: entries in which the query begins at a word boundary.
 
-    The batch form of ``word_start_filter``; case is ignored by comparing lower
-    case. Every entry is cut at its word boundaries and the pieces meet the
+    The batch form of ``word_start_filter``, by the same rule. Every entry is cut at its word boundaries and the pieces meet the
     queries by equality. A piece is as long as the longest query, which is all
     that can matter.
     """
-    asked = queries.withColumn("prefix", F.lower("q"))
+    asked = queries.withColumn("prefix", any_case(F.coalesce("q", F.lit(""))))
     distinct = distinct_prefixes(asked)
     profile = profile_queries(distinct)
     reach = max(profile.lengths, default=0)
-    begins, ends = f"(?<![{WORD_CHARS}])(?=[{WORD_CHARS}])", f"(?<=[{WORD_CHARS}])(?![{WORD_CHARS}])"
-    piece = f"(?s)(?:{begins}|{ends})(?=(.{{1,{max(reach, 1)}}}))"
-    pieces = F.array_distinct(F.regexp_extract_all("text", F.lit(piece), F.lit(1)))
-    keyed = dictionary.select("text", "weight", F.explode(pieces).alias("piece"))
-    keyed = keyed.select("text", "weight", F.lower("piece").alias("key"))
+    keyed = dictionary.select("text", "weight", F.explode(word_starts("text", reach)).alias("piece"))
+    keyed = keyed.select("text", "weight", any_case("piece").alias("key"))
 
     def once(exploded: DataFrame) -> DataFrame:
         # two words of one entry may start alike

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forespell.functions import WORD_CHARS, fold_literal, match_key, quote_regex
-
-_WORD_CHAR = re.compile(f"[{WORD_CHARS}]")
-
+from forespell.functions import WORD_CHARS, fold_literal, match_key
 
 def starts_with(dictionary: DataFrame, prefix: str, case_sensitive: bool = True) -> Column:
     """The match condition; on a stored column it is pushed down to the Parquet scan."""
@@ -46,19 +41,32 @@ def range_filter(positioned: DataFrame, lb: int, rb: int) -> DataFrame:
     return positioned.filter((F.col("pos") >= lb) & (F.col("pos") < rb))
 
 
-def word_start_pattern(query: str) -> str:
-    """Regular expression for ``query`` beginning at a word boundary, any case.
+def any_case(text: Column | str) -> Column:
+    """The form in which word starts are compared: lower case.
+
+    The two characters outside ASCII whose lower case is ASCII (U+0130, U+212A)
+    stay what they are, so no ASCII query finds them.
+    """
+    kept = F.translate(text, "\u0130\u212a", "\ue000\ue001")
+    return F.lower(kept)
+
+
+def word_starts(text: Column | str, reach: int) -> Column:
+    """The distinct stretches of ``reach`` characters, or fewer at the end, that begin at a word boundary.
 
     The boundary is the ASCII one: between a character of ``[A-Za-z0-9_]`` and
-    anything else. A query that does not begin with such a character therefore
-    needs one right before it.
+    anything else.
     """
-    if not query:
-        return f"[{WORD_CHARS}]"
-    before = f"(?:^|[^{WORD_CHARS}])" if _WORD_CHAR.match(query) else f"[{WORD_CHARS}]"
-    return f"{before}(?iu:{quote_regex(query)})"
+    begins, ends = f"(?<![{WORD_CHARS}])(?=[{WORD_CHARS}])", f"(?<=[{WORD_CHARS}])(?![{WORD_CHARS}])"
+    piece = f"(?s)(?:{begins}|{ends})(?=(.{{1,{max(reach, 1)}}}))"
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(piece), F.lit(1)))
 
 
 def word_start_filter(dictionary: DataFrame, query: str) -> DataFrame:
-    """Entries in which ``query`` begins at the start of any word, in any case."""
-    return dictionary.filter(F.col("text").rlike(word_start_pattern(query)))
+    """Entries in which ``query`` begins at a word boundary, in any case.
+
+    The rule of ``word_start_matches``: nothing in the query has a special meaning.
+    """
+    wanted = any_case(F.lit(query))
+    starts = word_starts(F.col("text"), len(query))
+    return dictionary.filter(F.exists(starts, lambda piece: any_case(piece).startswith(wanted)))

@@ -31,7 +31,11 @@ def spread_copies(df: DataFrame) -> DataFrame:
     size = F.lit(COPIES_PER_CHUNK)
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     last_chunk = F.floor((F.col("_copies") - 1) / size).cast("bigint")
-    chunked = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    few = counted.filter(F.col("_copies") <= size).withColumn("_chunk", F.lit(0).cast("bigint"))
+    # the chunks of a row part before its copies are made, so no task makes them all
+    many = counted.filter(F.col("_copies") > size)
+    many = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    chunked = few.unionByName(many.repartition(*df.columns, "_chunk"))
     left = F.least(size, F.col("_copies") - F.col("_chunk") * size)
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), left))
     return chunked.withColumn("_copy", copies).drop("_copy", "_copies")

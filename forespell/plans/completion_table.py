@@ -99,24 +99,34 @@ def build_completion_table(
     partitioned by prefix.
     """
     parts = _ranked_parts(dictionary, max_len, k, case_sensitive, method)
-    return reduce(DataFrame.unionByName, map(pack_completions, parts))
+    packed = reduce(DataFrame.unionByName, map(pack_completions, parts))
+    return packed.withMetadata("prefix", {"max_len": max_len, "k": k})
+
+
+def table_bounds(table: DataFrame) -> tuple[int, int] | None:
+    """``max_len, k`` a completion table was built for; kept with its schema, also when stored."""
+    kept = table.schema["prefix"].metadata
+    return (kept["max_len"], kept["k"]) if "max_len" in kept else None
 
 
 def save_completion_table(table: DataFrame, path: str) -> None:
-    """Store the table: one folder per prefix length, sorted by prefix inside."""
+    """Store the table: one folder per prefix length, sorted by prefix inside.
+
+    What it was built for is stored in the schema of its files.
+    """
+    kept = table.schema["prefix"].metadata
     (
         table.withColumn("prefix_length", F.length("prefix"))
         .repartitionByRange("prefix_length", "prefix")
         .sortWithinPartitions("prefix_length", "prefix")
+        .withMetadata("prefix", kept)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("prefix_length")
         .parquet(path)
     )
 
 
-_STORED = "prefix STRING, completions ARRAY<STRUCT<text: STRING, weight: BIGINT>>, prefix_length INT"
-
-
 def load_completion_table(spark: SparkSession, path: str) -> DataFrame:
-    """Open a stored table; ``prefix_length`` stays as the partition column."""
-    return spark.read.schema(_STORED).parquet(path)
+    """Open a stored table as it was stored; ``prefix_length`` stays as the partition column."""
+    return spark.read.parquet(path)

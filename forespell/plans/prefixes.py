@@ -7,7 +7,7 @@ real match, and no entry is compared with every query.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil
 from typing import NamedTuple
@@ -34,6 +34,7 @@ class QueryProfile(NamedTuple):
 
     prefixes: int
     prefix_bytes: int
+    query_bytes: int
     queries: int
     max_copies: int
     max_k: int
@@ -52,8 +53,12 @@ class QueryProfile(NamedTuple):
 
 
 def with_prefix(queries: DataFrame, case_sensitive: bool) -> DataFrame:
-    """Add ``prefix``, the form of ``q`` that is compared with the match key."""
-    return queries.withColumn("prefix", F.col("q") if case_sensitive else fold("q"))
+    """Add ``prefix``, the form of ``q`` that is compared with the match key.
+
+    A missing ``q`` is the empty prefix.
+    """
+    asked = F.coalesce(F.col("q"), F.lit(""))
+    return queries.withColumn("prefix", asked if case_sensitive else fold(asked))
 
 
 def distinct_prefixes(queries: DataFrame) -> DataFrame:
@@ -67,6 +72,7 @@ def profile_queries(distinct: DataFrame) -> QueryProfile:
     row = distinct.agg(
         F.count("*").alias("prefixes"),
         F.coalesce(F.sum(F.octet_length("prefix").cast("bigint")), F.lit(0)).alias("prefix_bytes"),
+        F.coalesce(F.sum(F.col("copies") * (F.octet_length("prefix") + 16)), F.lit(0)).alias("query_bytes"),
         F.coalesce(F.sum("copies"), F.lit(0)).alias("queries"),
         F.coalesce(F.max("copies"), F.lit(0)).alias("max_copies"),
         F.coalesce(F.max("k"), F.lit(1)).alias("max_k"),
@@ -120,24 +126,28 @@ def reduce_by_prefix(
     distinct: DataFrame,
     profile: QueryProfile,
     reduce_rows: Callable[[DataFrame], DataFrame],
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Apply ``reduce_rows`` to the matches of every wanted prefix.
 
+    The columns ``carry`` of ``distinct`` come with the result; ``reduce_rows``
+    must keep the columns it does not know.
+
     As long as the prefixes can be broadcast, the dictionary is filtered where it
     is read, and only what ``reduce_rows`` keeps per partition is shuffled. Beyond
     that the exploded dictionary is reduced first, with map-side cuts, and the
     reduced rows meet the prefixes on the exchange that the reduction made.
     """
     exploded = explode_prefixes(keyed, "key", profile.lengths)
-    wanted = distinct.select("prefix")
+    wanted, how = distinct.select("prefix", *carry), "inner" if carry else "left_semi"
     broadcasts = profile.broadcasts()
     if broadcasts == 0:
-        return reduce_rows(exploded).join(wanted.hint("shuffle_merge"), "prefix", "left_semi")
+        return reduce_rows(exploded).join(wanted.hint("shuffle_merge"), "prefix", how)
     slots = [wanted]
     if broadcasts > 1:
         slot = F.pmod(F.xxhash64("prefix"), F.lit(broadcasts))
         slots = [wanted.filter(slot == i) for i in range(broadcasts)]
-    parts = [reduce_rows(exploded.join(F.broadcast(some), "prefix", "left_semi")) for some in slots]
+    parts = [reduce_rows(exploded.join(F.broadcast(some), "prefix", how)) for some in slots]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -151,17 +161,19 @@ def hand_back(
 ) -> DataFrame:
     """Join the answers per prefix to all queries that asked for it.
 
-    A prefix that very many queries share is split: its queries get one of
-    several salts and its few answers are repeated once per salt. At most 1,000
-    prefixes can be that common, so their list is safe to broadcast.
+    A prefix that very many queries share is split: its queries get one of as
+    many salts as it takes to stay below ``hot_copies`` each, and its few answers
+    are repeated once per salt. At most BROADCAST_ROWS prefixes can be that
+    common, so their list is safe to broadcast.
     """
     if profile.max_copies <= hot_copies:
         return queries.join(answers, "prefix", how)
-    threshold = max(hot_copies, profile.queries // 1000)
-    salts = min(1024, -(-profile.max_copies // hot_copies))
-    hot = distinct.filter(F.col("copies") > threshold).select("prefix", F.lit(True).alias("_hot"))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*queries.columns), F.lit(salts)).cast("int"))
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+    threshold = max(hot_copies, profile.queries // 1_000_000)
+    salts = F.ceil(F.col("copies") / hot_copies).cast("int")
+    hot = distinct.filter(F.col("copies") > threshold).select("prefix", salts.alias("_hot"))
+    # rand, not a hash of the row: equal queries must part, too
+    spread = F.floor(F.rand(17) * F.col("_hot")).cast("int")
+    repeats = F.sequence(F.lit(0), F.col("_hot") - 1)
     left = (
         queries.join(F.broadcast(hot), "prefix", "left")
         .withColumn("_salt", F.coalesce(spread, F.lit(0)))

@@ -7,11 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from forespell.functions import match_key
-
-
-_PLAIN = "text STRING, weight BIGINT"
-_FOLDED = "text STRING, weight BIGINT, folded STRING"
+from forespell.functions import fold, match_key
 
 
 def save_dictionary(dictionary: DataFrame, path: str, case_sensitive: bool = True) -> None:
@@ -39,7 +35,15 @@ def save_dictionary(dictionary: DataFrame, path: str, case_sensitive: bool = Tru
 
 
 def load_dictionary(spark: SparkSession, path: str, case_sensitive: bool = True) -> DataFrame:
-    return spark.read.schema(_PLAIN if case_sensitive else _FOLDED).parquet(path)
+    """Open a stored dictionary with the weight type it was stored with.
+
+    A case-insensitive reader needs ``folded``. If the files do not have it, it is
+    computed while reading: right, but without pruning.
+    """
+    stored = spark.read.parquet(path)
+    if case_sensitive:
+        return stored.select("text", "weight")
+    return stored if "folded" in stored.columns else stored.withColumn("folded", fold("text"))
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

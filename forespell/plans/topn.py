@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # With a literal bound Spark cuts every group to n rows before the exchange, so
-# the task that finishes a group gets at most n rows per input partition. For
-# large n that product is cut once more by merging in this many parts first.
-MERGE_PARTS = 64
+# the task that finishes a group gets at most n rows per input partition. Where
+# that may pass this many rows, groups are first merged in parts, in a tree.
+ROWS_PER_TASK = 1_000_000
+# Input partitions are taken to be no more than this.
+INPUT_PARTITIONS = 1 << 20
 MERGE_FROM_N = 100
 
 
@@ -33,6 +35,22 @@ def top_n(
     are spread.
     """
     if n >= merge_from:
-        df = df.withColumn("_part", F.spark_partition_id() % MERGE_PARTS)
-        df = _ranked(df, [*keys, "_part"], order, n, rank).drop("_part", rank)
+        df = df.withColumn("_part", F.spark_partition_id())
+        for parts in merge_tree(n):
+            df = df.withColumn("_part", F.col("_part") % parts)
+            df = _ranked(df, [*keys, "_part"], order, n, rank).drop(rank)
+        df = df.drop("_part")
     return _ranked(df, keys, order, n, rank)
+
+
+def merge_tree(n: int) -> list[int]:
+    """Numbers of parts, falling, so that no task merges more than ROWS_PER_TASK rows of a group.
+
+    Each level merges ``ROWS_PER_TASK / n`` parts of the level before into one.
+    """
+    fan = max(2, ROWS_PER_TASK // n)
+    levels, parts = [], INPUT_PARTITIONS
+    while parts > fan:
+        parts = -(-parts // fan)
+        levels.append(parts)
+    return levels or [1]

@@ -19,21 +19,27 @@ def _column(value: Column | str) -> Column:
 
 
 def dictionary_from(
-    df: DataFrame, text: Column | str, weight: Column | str | None = None, aggregate: str | None = None
+    df: DataFrame,
+    text: Column | str,
+    weight: Column | str | None = None,
+    aggregate: str | None = None,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """``text, weight`` from a table.
 
     Without ``weight`` the weight is the number of rows with that text. With
     ``weight`` the rows are taken as they are, or one per text when
     ``aggregate`` is ``min``, ``max`` or ``sum``. Rows that cannot be entries
-    (see ``split_pairs``) are left out.
+    (see ``split_pairs``) stop the job, or are left out with ``on_bad='skip'``.
     """
+    if on_bad not in ("fail", "skip"):
+        raise ValueError(f"on_bad must be 'skip' or 'fail', not {on_bad!r}")
     text = _column(text)
     if weight is None:
-        counted = df.select(text.alias("text")).filter(_pair_reason(None).isNull())
+        counted = df.select(text.alias("text")).filter(_good(_pair_reason(None), on_bad))
         return counted.groupBy("text").agg(F.count("*").alias("weight"))
     pairs = df.select(text.alias("text"), _column(weight).cast("bigint").alias("weight"))
-    pairs = pairs.filter(_pair_reason(F.col("weight")).isNull())
+    pairs = pairs.filter(_good(_pair_reason(F.col("weight")), on_bad))
     if aggregate is None:
         return pairs
     if aggregate not in ("min", "max", "sum"):
@@ -41,6 +47,12 @@ def dictionary_from(
     return pairs.groupBy("text").agg(getattr(F, aggregate)("weight").alias("weight"))
 
 
+def _good(reason: Column, on_bad: str) -> Column:
+    if on_bad == "skip":
+        return reason.isNull()
+    return F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("not an entry: "), reason)))
+
+
 def _pair_reason(weight: Column | None) -> Column:
     text = F.col("text")
     reason = F.when(text.isNull(), NULL_TEXT).when(F.contains(text, F.lit("\0")), NUL)

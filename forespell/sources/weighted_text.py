@@ -61,7 +61,7 @@ def split_valid(
 def read_weighted_strings(
     spark: SparkSession,
     path: str | list[str],
-    on_bad: str = "skip",
+    on_bad: str = "fail",
     partitions: int | None = None,
     weight_type: str = "bigint",
     trailing: str = "reject",

@@ -7,32 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from forespell.functions import fold
-from forespell.operators.batch import complete_batch
+from forespell.operators.batch import complete_batch, suggestions_json
+from forespell.plans.completion_table import table_bounds
 
 
 def complete_stream(
     queries: DataFrame,
     table: DataFrame,
-    max_len: int,
+    max_len: int | None = None,
     k: int | Column = 5,
     case_sensitive: bool = True,
 ) -> DataFrame:
     """The stream with ``completions``, an array of up to ``k`` entries.
 
-    A stream-static left join with a completion table that was built for
-    ``max_len`` and for at least ``k``; batch queries work too. Every query keeps
-    its row. Without a match the array is empty. The table cannot tell about a
-    prefix longer than ``max_len``: its completions are null, and
-    ``complete_stream_batch`` is the way to answer it.
+    A stream-static left join with a completion table; batch queries work too.
+    Every query keeps its row; without a match the array is empty. What the table
+    was built for is kept with it: a larger ``k`` is an error, and so is a prefix
+    longer than the table's, which ``complete_stream_batch`` answers.
+    ``max_len`` may lower the table's own bound; it is needed only for a table
+    that does not know it.
     """
-    k = F.lit(k) if isinstance(k, int) else k
-    prefix = F.col("q") if case_sensitive else fold("q")
+    known = table_bounds(table)
+    if known is None and max_len is None:
+        raise ValueError("this table does not say what it was built for; state max_len")
+    if known and max_len is not None and max_len > known[0]:
+        raise ValueError(f"the table holds prefixes of up to {known[0]} characters, not {max_len}")
+    if known and isinstance(k, int) and k > known[1]:
+        raise ValueError(f"the table holds {known[1]} completions of a prefix, not {k}")
+    reach = known[0] if max_len is None else max_len
+    wanted = F.lit(k) if isinstance(k, int) else k
+    asked = F.coalesce(F.col("q"), F.lit(""))
+    prefix = asked if case_sensitive else fold(asked)
     answers = table.select(F.col("prefix").alias("_prefix"), "completions")
     joined = queries.join(answers, prefix == F.col("_prefix"), "left")
     nothing = F.array().cast(answers.schema["completions"].dataType)
-    found = F.coalesce(F.slice("completions", F.lit(1), k), nothing)
-    known = F.when(F.length("q") <= max_len, found)
-    return joined.select(*[F.col(c) for c in queries.columns], known.alias("completions"))
+    found = F.coalesce(F.slice("completions", F.lit(1), wanted), nothing)
+    checked = F.when(F.length(asked) > reach, F.raise_error("a prefix is longer than those of the table"))
+    if known:
+        checked = checked.when(wanted > known[1], F.raise_error("more completions are asked than the table holds"))
+    return joined.select(*[F.col(c) for c in queries.columns], checked.otherwise(found).alias("completions"))
 
 
 def complete_stream_batch(
@@ -42,22 +55,51 @@ def complete_stream_batch(
     case_sensitive: bool = True,
     ties: str = "last",
     heavy_from: int | None = None,
+    table: DataFrame | None = None,
+    keep_unmatched: bool = False,
+    as_json: bool = False,
 ) -> DataStreamWriter:
-    """Answer every micro-batch from the dictionary itself, for prefixes of any length.
+    """Answer every micro-batch, for prefixes of any length.
 
-    The stream has ``qid, q, k``. The answers of micro-batch ``n`` go to
-    ``path/batch_id=n``, overwritten if the batch is repeated after a failure,
-    so each is stored once. Set the trigger and checkpoint on the returned
-    writer and start it; read the answers back from ``path``.
+    The stream has ``qid, q, k``. With a completion ``table`` it answers what it
+    was built for, and the dictionary the rest: longer prefixes and larger ``k``;
+    together they hold every query once. ``keep_unmatched`` keeps a row for a
+    query without a match, ``as_json`` writes suggestion documents (and keeps all).
+    The answers of micro-batch ``n`` go to ``path/batch_id=n``, overwritten if the
+    batch is repeated after a failure, so each is stored once. Set the trigger
+    and checkpoint on the returned writer and start it; read the answers back
+    from ``path``.
     """
+    keep = keep_unmatched or as_json
+    bounds = table_bounds(table) if table is not None else None
+    if table is not None and (bounds is None or ties != "last"):
+        raise ValueError("the table must say what it was built for, and knows no other ties than 'last'")
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         # measured, reduced and answered: read the source once for all three
         batch.persist()
         try:
-            completions = complete_batch(dictionary, batch, case_sensitive, ties, heavy_from=heavy_from)
+            rest = batch
+            parts = []
+            if bounds:
+                fits = (F.length(F.coalesce("q", F.lit(""))) <= bounds[0]) & (F.col("k") <= bounds[1])
+                parts.append(_from_table(batch.filter(fits), table, case_sensitive, keep))
+                rest = batch.filter(~F.coalesce(fits, F.lit(False)))
+            if not bounds or not rest.isEmpty():
+                parts.append(complete_batch(dictionary, rest, case_sensitive, ties, keep, heavy_from=heavy_from))
+            completions = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            if as_json:
+                completions = suggestions_json(completions)
             completions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
     return queries.writeStream.foreachBatch(answer)
+
+
+def _from_table(queries: DataFrame, table: DataFrame, case_sensitive: bool, keep_unmatched: bool) -> DataFrame:
+    """``qid, rank, text, weight`` from a completion table."""
+    found = complete_stream(queries, table, k=F.col("k"), case_sensitive=case_sensitive)
+    flat = F.posexplode_outer if keep_unmatched else F.posexplode
+    rows = found.select("qid", flat("completions").alias("_at", "entry"))
+    return rows.select("qid", (F.col("_at") + 1).alias("rank"), "entry.text", "entry.weight")

@@ -1,35 +1,35 @@
-"""Italian cities with their population: an excerpt that keeps all of A and C."""
+"""Invented places with weights: shared stems, an apostrophe, non-ASCII, one entry the start of another."""
 
 CITIES = [
-    ("Acerra", 56177), ("Acireale", 53122), ("Afragola", 63981), ("Agrigento", 59175),
-    ("Alessandria", 94974), ("Altamura", 70023), ("Ancona", 102997), ("Andria", 100086),
-    ("Anzio", 55413), ("Aprilia", 70349), ("Arezzo", 100212), ("Ascoli Piceno", 51168),
-    ("Asti", 76534), ("Avellino", 56339), ("Aversa", 51631), ("Cagliari", 149576),
-    ("Caltanissetta", 60267), ("Campobasso", 50916), ("Carpi", 69021), ("Carrara", 65573),
-    ("Casalnuovo di Napoli", 50724), ("Caserta", 78693), ("Casoria", 79562),
-    ("Castellammare di Stabia", 64506), ("Catania", 293902), ("Catanzaro", 93124),
-    ("Cava de' Tirreni", 53520), ("Cerignola", 59103), ("Cesena", 97056), ("Chieti", 54305),
-    ("Chioggia", 50674), ("Cinisello Balsamo", 75150), ("Civitavecchia", 52294),
-    ("Collegno", 50135), ("Como", 85263), ("Cosenza", 70068), ("Cremona", 72147),
-    ("Crotone", 61798), ("Cuneo", 55714), ("Forlì", 118167), ("Milan", 1242123),
-    ("Naples", 962003), ("Palermo", 657651), ("Quartu Sant'Elena", 71779),
-    ("Reggio Calabria", 180817), ("Reggio Emilia", 162082), ("Rome", 2617175),
-    ("San Severo", 55321), ("Sanremo", 56962), ("Turin", 872367),
+    ("Actalu", 7259), ("Aclune", 2822), ("Afmese", 15817), ("Agpiluri", 11721),
+    ("Alvevedo", 46341), ("Alneme", 22335), ("Annese", 57295), ("Anstone", 51667),
+    ("Andone", 5480), ("Apvovo", 26032), ("Arstomedo", 54438), ("Aslulu Luvo", 1620),
+    ("Asnelu", 34309), ("Avdofise", 8257), ("Avgradovo", 1930), ("Canesto", 63207),
+    ("Cagralugra", 12996), ("Canevo", 1362), ("Capise", 20592), ("Cafisto", 18921),
+    ("Casalvento di Nerpi", 1152), ("Cavomese", 36577), ("Catafi", 38915),
+    ("Castelvarro di Sumba", 17342), ("Cabanene", 72639), ("Castopi", 43776),
+    ("Calva de' Torvi", 3375), ("Cedolulu", 10474), ("Cebaba", 48972), ("Chseve", 4022),
+    ("Chgrata", 1053), ("Civome Dofi", 32134), ("Cigraseba", 2340),
+    ("Cosenegra", 1013), ("Covo", 41322), ("Covorime", 24149), ("Crvobane", 30024),
+    ("Crfita", 14379), ("Cupiba", 6334), ("Forvù", 60209), ("Mistose", 86251),
+    ("Nastone", 82749), ("Pagraba", 75926), ("Quorva Sant'Irmo", 27987),
+    ("Reglio Cavara", 69441), ("Reglio Esina", 66283), ("Rovove", 89839),
+    ("San Telvio", 4727), ("Sanvero", 9326), ("Tuvone", 79311),
 ]
 
 # prefix, case-sensitive, the heaviest five
 BEST_FIVE = [
-    ("", True, ["Rome", "Milan", "Naples", "Turin", "Palermo"]),
-    ("C", True, ["Catania", "Cagliari", "Cesena", "Catanzaro", "Como"]),
-    ("Ca", True, ["Catania", "Cagliari", "Catanzaro", "Casoria", "Caserta"]),
-    ("San", True, ["Sanremo", "San Severo"]),
-    ("Reggio", True, ["Reggio Calabria", "Reggio Emilia"]),
-    ("Forlì", True, ["Forlì"]),
+    ("", True, ["Rovove", "Mistose", "Nastone", "Tuvone", "Pagraba"]),
+    ("C", True, ["Cabanene", "Canesto", "Cebaba", "Castopi", "Covo"]),
+    ("Ca", True, ["Cabanene", "Canesto", "Castopi", "Catafi", "Cavomese"]),
+    ("San", True, ["Sanvero", "San Telvio"]),
+    ("Reglio", True, ["Reglio Cavara", "Reglio Esina"]),
+    ("Forvù", True, ["Forvù"]),
     ("a", True, []),
-    ("Roma", True, []),
-    ("ComoCosenza", True, []),
-    ("a", False, ["Ancona", "Arezzo", "Andria", "Alessandria", "Asti"]),
-    ("SAN", False, ["Sanremo", "San Severo"]),
-    ("reggio", False, ["Reggio Calabria", "Reggio Emilia"]),
-    ("FORLì", False, ["Forlì"]),
+    ("Rovem", True, []),
+    ("CovoCovorime", True, []),
+    ("a", False, ["Annese", "Arstomedo", "Anstone", "Alvevedo", "Asnelu"]),
+    ("SAN", False, ["Sanvero", "San Telvio"]),
+    ("reglio", False, ["Reglio Cavara", "Reglio Esina"]),
+    ("FORVù", False, ["Forvù"]),
 ]

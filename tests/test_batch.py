@@ -70,12 +70,12 @@ def test_scan_ties(spark, entries, either_way, seed):
 
 
 def test_unmatched_queries_can_be_kept(spark, entries, either_way):
-    queries = ask(spark, [("Reggio", 1), ("Roma", 5), ("Reggio", 9)])
+    queries = ask(spark, [("Reglio", 1), ("Rovem", 5), ("Reglio", 9)])
     found = by_query(fs.complete_batch(entries(CITIES), queries, keep_unmatched=True))
     assert found == {
-        0: [("Reggio Calabria", 180817)],
+        0: [("Reglio Cavara", 69441)],
         1: [(None, None)],
-        2: [("Reggio Calabria", 180817), ("Reggio Emilia", 162082)],
+        2: [("Reglio Cavara", 69441), ("Reglio Esina", 66283)],
     }
     assert set(by_query(fs.complete_batch(entries(CITIES), queries))) == {0, 2}
 
@@ -102,10 +102,23 @@ def test_facets_and_extensions(spark, entries, either_way):
     queries = ask(spark, [("Co", 1), ("Reg", 1), ("nothing", 1)])
     facets = fs.next_char_facets_batch(entries(CITIES), queries).collect()
     assert {tuple(r) for r in facets} == {
-        (0, "l", 1, 50135), (0, "m", 1, 85263), (0, "s", 1, 70068), (1, "g", 2, 180817),
+        (0, "s", 1, 1013), (0, "v", 2, 41322), (1, "l", 2, 69441),
     }
     extensions = dict(map(tuple, fs.common_extensions(entries(CITIES), queries).collect()))
-    assert extensions == {0: "Co", 1: "Reggio ", 2: None}
+    assert extensions == {0: "Co", 1: "Reglio ", 2: None}
+
+
+def test_a_missing_prefix_is_the_empty_one(spark, entries, either_way):
+    queries = spark.createDataFrame([(0, None, 2), (1, "", 2)], "qid INT, q STRING, k INT")
+    found = by_query(fs.complete_batch(entries(CITIES), queries))
+    assert found[0] == found[1] == best(CITIES, "", 2)
+
+
+def test_a_large_k_among_small_ones(spark, entries, either_way):
+    rows = [(f"w{i:05d}", i * 7919 % 10_007) for i in range(3_000)]
+    queries = spark.createDataFrame([(0, "w", 2_000), (1, "w0", 3), (2, "w00", 1)], "qid INT, q STRING, k INT")
+    found = by_query(fs.complete_batch(entries(rows), queries))
+    assert [found[i] for i in range(3)] == [best(rows, q, k) for q, k in (("w", 2_000), ("w0", 3), ("w00", 1))]
 
 
 def test_words_within_entries(spark, entries, either_way):
@@ -141,7 +154,7 @@ def test_lengths_are_generated_or_listed(spark, entries):
 def test_profile(spark):
     queries = ask(spark, [("a", 1), ("a", 7), ("é", 2), ("", 3), ("abc", 1)])
     profile = profile_queries(distinct_prefixes(with_prefix(queries, True)))
-    assert profile == (4, 6, 5, 2, 7, (0, 1, 3))
+    assert profile == (4, 6, 87, 5, 2, 7, (0, 1, 3))
     assert profile.broadcasts() == 1
     assert profile._replace(prefixes=sizing.BROADCAST_ROWS + 1).broadcasts() == 3
     assert profile._replace(prefix_bytes=2 * sizing.BROADCAST_BYTES).broadcasts() == 4
@@ -150,7 +163,7 @@ def test_profile(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_a_prefix_shared_by_many_queries_is_salted(spark, entries, how):
-    asked = ask(spark, [("C", 2)] * 50 + [("San", 2), ("Roma", 2)] + [("none", 1)] * 20)
+    asked = ask(spark, [("C", 2)] * 50 + [("San", 2), ("Rovem", 2)] + [("none", 1)] * 20)
     asked = with_prefix(asked, True)
     distinct = distinct_prefixes(asked)
     profile = profile_queries(distinct)
@@ -188,7 +201,7 @@ def test_documents_from_packed_completions(spark, entries):
     table = fs.build_completion_table(entries(CITIES), 2, 2)
     documents = {r.prefix: json.loads(r.json) for r in fs.suggestions_json(table).collect()}
     assert documents["Ca"] == {
-        "suggestions": [{"value": "Catania", "data": "0"}, {"value": "Cagliari", "data": "1"}]
+        "suggestions": [{"value": "Cabanene", "data": "0"}, {"value": "Canesto", "data": "1"}]
     }
     unknown = spark.createDataFrame([(1, None)], "qid BIGINT, completions ARRAY<STRUCT<text: STRING, weight: BIGINT>>")
     assert fs.suggestions_json(unknown).collect() == [(1, None)]

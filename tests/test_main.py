@@ -32,4 +32,4 @@ def test_build_complete_and_table(spark, tmp_path):
 
     main(["table", words, str(tmp_path / "table"), "--ignore-case", "--max-len", "2", "--k", "1"])
     stored = spark.read.parquet(str(tmp_path / "table"))
-    assert stored.filter("prefix = 'ca'").first().completions[0].text == "Catania"
+    assert stored.filter("prefix = 'ca'").first().completions[0].text == "Cabanene"

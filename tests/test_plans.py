@@ -9,7 +9,7 @@ from brute import best, fold, random_pairs, random_prefixes
 from cities import CITIES
 
 import forespell as fs
-from forespell.plans import completion_table
+from forespell.plans import completion_table, topn
 from forespell.session import scratch_path, shared_dir
 
 
@@ -68,7 +68,7 @@ def test_one_lookup_keeps_k_rows_per_partition(stored):
 
 def test_batch_filters_before_any_shuffle_of_the_dictionary(spark, stored):
     plan = plan_of(fs.complete_batch(stored, fs.queries_from(spark, ["C", "San"])))
-    assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan
+    assert "BroadcastHashJoin" in plan and "Inner, BuildRight" in plan
     assert plan.count("WindowGroupLimit") == 2
     for forbidden in ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "Python"):
         assert forbidden not in plan
@@ -81,8 +81,8 @@ def test_many_queries_meet_the_reduced_dictionary(spark, stored, shuffled):
     for forbidden in ("BroadcastNestedLoopJoin", "CartesianProduct"):
         assert forbidden not in plan
     # the reduction and the join share one exchange of the dictionary
-    semi = plan[plan.index("LeftSemi") :]
-    assert semi.index("Window [") < semi.index("Exchange hashpartitioning(prefix")
+    joined = plan[plan.index("SortMergeJoin [prefix") :]
+    assert joined.index("Window [") < joined.index("Exchange hashpartitioning(prefix")
 
 
 def test_completion_table_packs_on_the_exchange_of_the_ranking(stored):
@@ -157,3 +157,44 @@ def test_table_answers_like_the_batch(spark, entries, seed):
     table = {r.prefix: r.completions for r in fs.build_completion_table(entries(pairs), 6, 3).collect()}
     for prefix in random_prefixes(seed, 20):
         assert [tuple(e) for e in table.get(prefix, [])] == best(pairs, prefix, 3)
+
+
+def test_a_plain_dictionary_read_without_case(spark, entries, tmp_path):
+    path = str(tmp_path / "plain")
+    fs.save_dictionary(entries([("Aa", 3), ("ab", 2), ("b", 1)]), path)
+    found = fs.complete(fs.load_dictionary(spark, path, case_sensitive=False), "A", 5, False)
+    assert [(r.text, r.weight) for r in found.collect()] == [("Aa", 3), ("ab", 2)]
+    reused = fs.load_or_build(spark, path, lambda: entries([]), case_sensitive=False)
+    assert fs.complete(reused, "A", 5, False).count() == 2
+
+
+def test_weights_beyond_a_bigint(spark, tmp_path):
+    heavy = 2**63 + 5
+    rows = spark.createDataFrame([("aa", str(heavy)), ("ab", "1")], "text STRING, weight STRING")
+    fs.save_dictionary(rows.withColumn("weight", rows.weight.cast("decimal(20,0)")), str(tmp_path / "d"))
+    stored = fs.load_dictionary(spark, str(tmp_path / "d"))
+    assert [int(r.weight) for r in fs.complete(stored, "a", 5).collect()] == [heavy, 1]
+    fs.save_completion_table(fs.build_completion_table(stored, 1, 5), str(tmp_path / "t"))
+    table = fs.load_completion_table(spark, str(tmp_path / "t"))
+    assert [int(e.weight) for e in table.filter("prefix = 'a'").first().completions] == [heavy, 1]
+    asked = spark.createDataFrame([(1, "a", 2)], "qid INT, q STRING, k INT")
+    assert [int(r.weight) for r in fs.complete_batch(stored, asked).orderBy("rank").collect()] == [heavy, 1]
+
+
+def test_a_shorter_table_replaces_a_longer_one(spark, entries, tmp_path):
+    path = str(tmp_path / "table")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for max_len in (3, 1):
+            fs.save_completion_table(fs.build_completion_table(entries(CITIES), max_len, 2), path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert fs.load_completion_table(spark, path).agg({"prefix_length": "max"}).first()[0] == 1
+
+
+def test_merge_tree_bounds_every_task():
+    for n in (100, 1_000, 2_000, 50_000):
+        parts = topn.INPUT_PARTITIONS
+        for level in [*topn.merge_tree(n), 1]:
+            assert -(-parts // level) * n <= topn.ROWS_PER_TASK + n
+            parts = level

@@ -7,7 +7,7 @@ import pytest
 import forespell as fs
 
 LINES = [
-    ("Rome\t2617175", ("Rome", 2617175), None),
+    ("Rovove\t89839", ("Rovove", 89839), None),
     ("Cava de' Tirreni\t53520", ("Cava de' Tirreni", 53520), None),
     ('say "x\\\t7', ('say "x\\', 7), None),
     ("crlf\t1\r", ("crlf", 1), None),
@@ -48,14 +48,14 @@ def test_read_plain_and_gzip(spark, tmp_path):
     (tmp_path / "plain.tsv").write_bytes(body)
     (tmp_path / "packed.tsv.gz").write_bytes(gzip.compress(body))
     for name in ("plain.tsv", "packed.tsv.gz"):
-        rows = fs.read_weighted_strings(spark, str(tmp_path / name), partitions=3).collect()
+        rows = fs.read_weighted_strings(spark, str(tmp_path / name), "skip", partitions=3).collect()
         assert sorted(map(tuple, rows)) == [("a", 1), ("b", 2)]
 
 
 def test_bad_line_can_stop_the_job(spark, tmp_path):
     (tmp_path / "d.tsv").write_text("a\t1\nbad\n")
     with pytest.raises(Exception, match="no tab: bad"):
-        fs.read_weighted_strings(spark, str(tmp_path / "d.tsv"), on_bad="fail").collect()
+        fs.read_weighted_strings(spark, str(tmp_path / "d.tsv")).collect()
     (tmp_path / "e.tsv").write_text("a\t1\n")
     assert fs.read_weighted_strings(spark, str(tmp_path / "e.tsv"), on_bad="fail").collect() == [("a", 1)]
 
@@ -88,9 +88,12 @@ def test_pairs_from_tables(spark):
     good, bad = fs.split_pairs(df)
     assert sorted(map(tuple, good.collect())) == [("a", 1), ("a", 5)]
     assert {r.reason for r in bad.collect()} == {"null text", "null weight", "negative weight", "NUL in text"}
-    assert fs.dictionary_from(df, "text", "weight", "sum").collect() == [("a", 6)]
-    counted = fs.dictionary_from(df, "text").collect()
+    assert fs.dictionary_from(df, "text", "weight", "sum", on_bad="skip").collect() == [("a", 6)]
+    counted = fs.dictionary_from(df, "text", on_bad="skip").collect()
     assert sorted(map(tuple, counted)) == [("a", 2), ("b", 1), ("c", 1)]
+    for weight in (None, "weight"):
+        with pytest.raises(Exception, match="not an entry"):
+            fs.dictionary_from(df, "text", weight).collect()
 
 
 def test_word_dictionary_takes_the_separator_literally(spark):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from brute import best
 from cities import CITIES
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 import forespell as fs
 
-ASKED = ["C", "San", "Ro", "", "C", "castellammare", "xyz"]
+ASKED = ["C", "San", "Ro", "", "C", "castelvarro", "xyz"]
 
 
 @pytest.fixture
@@ -28,31 +30,61 @@ def run(writer, state):
 def test_stream_against_the_table(spark, entries, lines, tmp_path, case_sensitive):
     built = str(tmp_path / "table")
     fs.save_completion_table(fs.build_completion_table(entries(CITIES), 3, 5, case_sensitive), built)
-    asked = fs.stream_queries(spark, lines, 3)
+    asked = fs.stream_queries(spark, lines, 3).filter(F.length("q") <= 3)
     answered = fs.complete_stream(
         asked, fs.load_completion_table(spark, built), 3, F.col("k"), case_sensitive
     )
     out = str(tmp_path / "out")
     run(answered.writeStream.format("parquet").option("path", out), tmp_path / "state")
     rows = spark.read.schema(answered.schema).parquet(out).collect()
-    assert sorted(r.q for r in rows) == sorted(ASKED)
+    assert sorted(r.q for r in rows) == sorted(q for q in ASKED if len(q) <= 3)
     for row in rows:
-        if len(row.q) > 3:
-            # not for the table to answer
-            assert row.completions is None
-        else:
-            assert [tuple(e) for e in row.completions] == best(CITIES, row.q, 3, case_sensitive)
+        assert [tuple(e) for e in row.completions] == best(CITIES, row.q, 3, case_sensitive)
+
+
+def test_a_table_knows_its_bounds(spark, entries, tmp_path):
+    fs.save_completion_table(fs.build_completion_table(entries(CITIES), 2, 3), str(tmp_path / "table"))
+    table = fs.load_completion_table(spark, str(tmp_path / "table"))
+    asked = spark.createDataFrame([(1, "C", 3), (2, None, 2)], "qid INT, q STRING, k INT")
+    for more in ({"k": 4}, {"max_len": 3}):
+        with pytest.raises(ValueError):
+            fs.complete_stream(asked, table, **more)
+    found = {r.qid: [tuple(e) for e in r.completions] for r in fs.complete_stream(asked, table, k=F.col("k")).collect()}
+    assert found == {1: best(CITIES, "C", 3), 2: best(CITIES, "", 2)}
+    for q, k in (("Cas", 1), ("C", 4)):
+        with pytest.raises(Exception, match="the table"):
+            fs.complete_stream(spark.createDataFrame([(1, q, k)], asked.schema), table, k=F.col("k")).collect()
+
+
+@pytest.mark.parametrize("as_json", [False, True])
+@pytest.mark.parametrize("case_sensitive", [True, False])
+def test_table_and_dictionary_answer_the_whole_stream(spark, entries, lines, tmp_path, case_sensitive, as_json):
+    table = fs.build_completion_table(entries(CITIES), 2, 5, case_sensitive)
+    asked = fs.stream_queries(spark, lines, 2).withColumn("qid", F.xxhash64("q")).dropDuplicates(["qid"])
+    out = str(tmp_path / "out")
+    writer = fs.complete_stream_batch(
+        asked, entries(CITIES), out, case_sensitive, table=table, keep_unmatched=True, as_json=as_json
+    )
+    run(writer, tmp_path / "state")
+    rows = spark.read.parquet(out).collect()
+    names = {r.qid: r.q for r in spark.createDataFrame([(q,) for q in ASKED], "q STRING").select(F.xxhash64("q").alias("qid"), "q").collect()}
+    if as_json:
+        got = {names[r.qid]: [s["value"] for s in json.loads(r.json)["suggestions"]][:2] for r in rows}
+        assert got == {q: [t for t, _ in best(CITIES, q, 2, case_sensitive)] for q in ASKED}
+    else:
+        got = {(names[r.qid], r.rank, r.text, r.weight) for r in rows}
+        want = {(q, i, *e) for q in ASKED for i, e in enumerate(best(CITIES, q, 2, case_sensitive), 1)}
+        assert got == want | {(q, None, None, None) for q in ASKED if not best(CITIES, q, 2, case_sensitive)}
 
 
 def test_stream_against_the_dictionary(spark, entries, lines, tmp_path):
     asked = fs.stream_queries(spark, lines, 2).withColumn("qid", F.xxhash64("q"))
     out = str(tmp_path / "out")
+    asked = asked.filter("q != 'C'").unionByName(asked.filter("q = 'C'").withColumn("qid", F.lit(0).cast("bigint")).dropDuplicates(["qid"]))
     run(fs.complete_stream_batch(asked, entries(CITIES), out, case_sensitive=False), tmp_path / "state")
-    rows = spark.read.parquet(out).collect()
-    expected = sum(len(best(CITIES, q, 2, False)) for q in ASKED)
-    # "C" was asked twice, with the same qid: its answers come twice for both
-    assert len(rows) >= expected
-    assert {(r.text, r.weight) for r in rows} == {p for q in ASKED for p in best(CITIES, q, 2, False)}
+    rows = [(r["rank"], r["text"], r["weight"]) for r in spark.read.parquet(out).collect()]
+    want = [(i, *e) for q in set(ASKED) for i, e in enumerate(best(CITIES, q, 2, False), 1)]
+    assert sorted(rows) == sorted(want)
 
 
 def test_a_repeated_micro_batch_is_stored_once(spark, entries, lines, tmp_path):
