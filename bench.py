@@ -64,6 +64,8 @@ def typed_prefixes(spark: SparkSession, n: int) -> DataFrame:
 def operators(spark: SparkSession, dictionary: DataFrame) -> dict:
     typed = spark_queries.typed(spark, SF_DIR)
     events = spark_queries.event_prefixes(spark, SF_DIR)
+    heavy = fs.heavy_weight(dictionary)
+    positioned = fs.with_position(dictionary)
     return {
         "dedup": lambda: fs.dedup(dictionary),
         "dedup_ci": lambda: fs.dedup(dictionary, case_sensitive=False),
@@ -78,6 +80,15 @@ def operators(spark: SparkSession, dictionary: DataFrame) -> dict:
         "completion_table": lambda: fs.completion_rows(dictionary, 4, 10, method="explode"),
         "completion_rollup": lambda: fs.completion_rows(dictionary, 4, 10),
         "suggestions_json": lambda: fs.suggestions_json(fs.complete_batch(dictionary, typed)),
+        "complete_batch_heavy_first": lambda: fs.complete_batch(dictionary, typed, heavy_from=heavy),
+        "complete_batch_ten": lambda: fs.complete_batch(dictionary, fs.queries_from(spark, LOOKUPS)),
+        "complete_batch_scan_ties": lambda: fs.complete_batch(positioned, typed, ties="scan"),
+        "match_entries": lambda: fs.match_entries(dictionary, typed),
+        "common_extensions": lambda: fs.common_extensions(dictionary, typed),
+        "word_start_matches": lambda: fs.word_start_matches(
+            fs.dictionary_from(spark.read.parquet(f"{SF_DIR}/conversations.parquet"), "text"),
+            fs.queries_from(spark, spark_queries.WORD_STARTS),
+        ),
     }
 
 

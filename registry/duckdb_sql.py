@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.spark_queries import MIXED_CASE, PREFIXES, WORD_STARTS
+from registry.spark_queries import LARGE_K, MIXED_CASE, PREFIXES, WORD_STARTS
 
 FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -21,6 +21,12 @@ TYPED = """typed AS (
   SELECT conv_id * 1000 + turn AS qid, left(string_split(text, ' ')[-1], 3) AS q,
          CAST(turn % 7 + 1 AS INTEGER) AS k
   FROM conversations)"""
+TYPED_WORDS = """typed_words AS (
+  SELECT qid, left(w, CAST(qid % 12 + 1 AS INTEGER)) AS q, CAST(turn % 7 + 1 AS INTEGER) AS k
+  FROM (SELECT turn, w, (conv_id * 1000 + turn) * 10000 + place - 1 AS qid
+        FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w,
+                     generate_subscripts(string_split(text, ' '), 1) AS place FROM conversations))
+  WHERE w <> '')"""
 EVENT_PREFIXES = """event_prefixes AS (
   SELECT event_id AS qid, left(event_type, CAST(event_id % 4 + 1 AS INTEGER)) AS q, 3 AS k FROM events)"""
 LINES = """lines AS (
@@ -81,6 +87,16 @@ ranked AS (
   FROM pairs)"""
 
 
+def ranked_by_length(words: str, queries: str, most: int) -> str:
+    """``ranked`` for prefixes of 1 to ``most`` characters, by equality."""
+    return f"""ranked AS (
+  SELECT prefix, text, weight, CAST(row_number() OVER (
+    PARTITION BY prefix ORDER BY weight DESC, text DESC) AS INTEGER) AS rank
+  FROM (SELECT DISTINCT q AS prefix FROM {queries})
+  JOIN (SELECT left(text, n) AS start, text, weight FROM {words}
+        JOIN (SELECT CAST(range AS INTEGER) AS n FROM range(1, {most + 1})) ON n <= length(text)) ON start = prefix)"""
+
+
 def batch(words: str, queries: str, case_sensitive: bool = True) -> str:
     q = "q" if case_sensitive else FOLD.format("q")
     return f"""SELECT qid, rank, text, weight FROM {queries} JOIN ranked ON {q} = prefix WHERE rank <= k"""
@@ -208,6 +224,10 @@ FROM {queries} JOIN below ON {q} = below.prefix LEFT JOIN inside ON below.prefix
     pick = "ORDER BY weight DESC, pos DESC LIMIT"
     starts = literal(WORD_STARTS)
     return {
+        "stored_plain_read_ci": with_(WORDS, FOLDED) + one("folded", "starts_with(folded, 'th')", 10, "folded"),
+        "stored_decimal_weights": with_(WORDS, literal(PREFIXES), ranked("words", "asked"))
+        + "SELECT qid, rank, text, CAST(CAST(weight AS HUGEINT) + 9223372036854775808 AS VARCHAR) AS weight"
+        " FROM asked JOIN ranked ON q = prefix WHERE rank <= k",
         "stored_dictionary": with_(WORDS) + "SELECT text, weight FROM words WHERE starts_with(text, 'th')",
         "stored_dictionary_ci": with_(WORDS, FOLDED, survivors)
         + one("survivors", "starts_with(folded, 'th')", 20, "folded"),
@@ -267,6 +287,8 @@ SELECT qid, {common} AS extension FROM ends""",
 def completion_sql() -> dict[str, str]:
     ask = literal(PREFIXES)
     ask10 = literal(PREFIXES, 10)
+    rows = ", ".join(f"({i}, '{q}', {k})" for i, q, k in LARGE_K)
+    large = f"asked(qid, q, k) AS (SELECT CAST(c0 AS BIGINT), c1, c2 FROM (VALUES {rows}) v(c0, c1, c2))"
     typed_batch = with_(WORDS, TYPED, ranked("words", "typed"))
     event_batch = with_(WORDS, EVENT_PREFIXES, ranked("words", "event_prefixes")) + batch("words", "event_prefixes")
     ten = with_(WORDS, ask10, ranked("words", "asked"))
@@ -318,6 +340,22 @@ FROM asked JOIN ranked ON q = prefix WHERE rank <= k""",
         "complete_stream_json": with_(WORDS, EVENT_PREFIXES, ranked("words", "event_prefixes"))
         + documents("event_prefixes", 3),
         "complete_stream_batch": event_batch,
+        "complete_stream_ci": with_(WORDS, EVENT_PREFIXES, ranked("words", "event_prefixes", False))
+        + batch("words", "event_prefixes", False),
+        "complete_stream_long": with_(WORDS, TYPED_WORDS, ranked_by_length("words", "typed_words", 12))
+        + "SELECT qid, rank, text, weight FROM typed_words LEFT JOIN ranked ON q = prefix AND rank <= k",
+        "complete_batch_null_q": with_(
+            WORDS,
+            TYPED,
+            "asked AS (SELECT qid, CASE WHEN qid % 3 <> 0 THEN q ELSE '' END AS q, k FROM typed)",
+            ranked("words", "asked"),
+        )
+        + batch("words", "asked"),
+        "complete_batch_large_k": with_(WORDS, large, ranked("words", "asked")) + batch("words", "asked"),
+        "complete_batch_long": with_(
+            URLS, "asked AS (SELECT page_id AS qid, url AS q, 3 AS k FROM pages)", ranked("urls", "asked")
+        )
+        + batch("urls", "asked"),
     }
 
 

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PREFIXES = ["", "t", "th", "the", "de", "é", "Zz", "the", "qu"]
 MIXED_CASE = ["", "T", "tH", "THE", "dE", "É", "é", "zZ"]
+LARGE_K = [(0, "th", 2000), *[(i, q, i) for i, q in enumerate(PREFIXES[:7], 1)]]
 WORD_STARTS = ["the", "ou", "Et"]
 
 
@@ -62,6 +63,18 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_words(conversations: DataFrame) -> DataFrame:
+    """The first 1 to 12 letters of every word of every message; k varies by turn."""
+    words = conversations.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("at", "w"))
+    qid = (F.col("conv_id") * 1000 + F.col("turn")) * 10000 + F.col("at")
+    numbered = words.filter(F.col("w") != "").select("turn", "w", qid.alias("qid"))
+    return numbered.select(
+        "qid",
+        F.left("w", (F.col("qid") % 12 + 1).cast("int")).alias("q"),
+        (F.col("turn") % 7 + 1).cast("int").alias("k"),
+    )
+
+
 def event_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One to four letters of the event type: a handful of prefixes, asked very often."""
     reach = (F.col("event_id") % 4 + 1).cast("int")
@@ -196,6 +209,18 @@ def lookup_queries() -> dict[str, Query]:
         again = fs.load_or_build(spark, path, lambda: part_names(spark, sf_dir))
         return fs.input_stats(again)
 
+    def plain_read_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "dictionary")
+        fs.save_dictionary(words(spark, sf_dir), path)
+        return fs.complete(fs.load_dictionary(spark, path, False), "tH", 10, case_sensitive=False)
+
+    def decimal_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "dictionary")
+        above = (F.col("weight").cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(20,0)")
+        fs.save_dictionary(words(spark, sf_dir).withColumn("weight", above), path)
+        best = fs.complete_batch(fs.load_dictionary(spark, path), fs.queries_from(spark, PREFIXES))
+        return best.withColumn("weight", F.col("weight").cast("string"))
+
     def one_range(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fs.prefix_range(words(spark, sf_dir), "th")
 
@@ -203,6 +228,8 @@ def lookup_queries() -> dict[str, Query]:
         "stored_dictionary": stored,
         "stored_dictionary_ci": stored_ci,
         "load_or_build": reused,
+        "stored_plain_read_ci": plain_read_ci,
+        "stored_decimal_weights": decimal_weights,
         "prefix_filter": lambda s, d: fs.prefix_filter(words(s, d), "th"),
         "prefix_filter_ci": lambda s, d: fs.prefix_filter(words(s, d), "Th", case_sensitive=False),
         "prefix_filter_urls": lambda s, d: fs.prefix_filter(urls(s, d), "https://"),
@@ -280,6 +307,36 @@ def completion_queries() -> dict[str, Query]:
     def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return drained(fs.suggestions_json(answered_stream(spark, sf_dir))).select("qid", "json")
 
+    def stream_lookup_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = fs.build_completion_table(words(spark, sf_dir), 4, 3, case_sensitive=False)
+        rows = drained(fs.complete_stream(event_stream(spark, sf_dir), table, k=F.col("k"), case_sensitive=False))
+        flat = rows.select("qid", F.posexplode("completions").alias("place", "entry"))
+        return flat.select("qid", (F.col("place") + 1).alias("rank"), "entry.text", "entry.weight")
+
+    def stream_of_any_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Short prefixes from the table, the others from the dictionary; every query keeps a row."""
+        path = scratch_path(spark, "stream")
+        schema = table(spark, sf_dir, "conversations").schema
+        talks = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+        built = fs.build_completion_table(words(spark, sf_dir), 4, 5)
+        writer = fs.complete_stream_batch(
+            typed_words(talks), words(spark, sf_dir), f"{path}/answers", table=built, keep_unmatched=True
+        )
+        writer = writer.option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
+        writer.start().awaitTermination()
+        return spark.read.parquet(f"{path}/answers").drop("batch_id")
+
+    def null_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+        asked = typed(spark, sf_dir).withColumn("q", F.when(F.col("qid") % 3 != 0, F.col("q")))
+        return fs.complete_batch(words(spark, sf_dir), asked)
+
+    def large_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fs.complete_batch(words(spark, sf_dir), spark.createDataFrame(LARGE_K, "qid BIGINT, q STRING, k INT"))
+
+    def whole_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+        asked = table(spark, sf_dir, "pages").select(F.col("page_id").alias("qid"), F.col("url").alias("q"), F.lit(3).alias("k"))
+        return fs.complete_batch(urls(spark, sf_dir), asked)
+
     def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "stream")
         writer = fs.complete_stream_batch(event_stream(spark, sf_dir), words(spark, sf_dir), f"{path}/answers")
@@ -321,6 +378,11 @@ def completion_queries() -> dict[str, Query]:
         "complete_stream": stream_lookup,
         "complete_stream_json": stream_documents,
         "complete_stream_batch": stream_batches,
+        "complete_stream_ci": stream_lookup_ci,
+        "complete_stream_long": stream_of_any_length,
+        "complete_batch_null_q": null_prefixes,
+        "complete_batch_large_k": large_k,
+        "complete_batch_long": whole_urls,
     }
 
 
