@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.llm import decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, token_files, toxicity, warc
+from forespell.llm import decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, sql, token_files, toxicity, warc
 from forespell.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,4 +87,4 @@ def all_queries() -> dict[str, Query]:
 
 def all_sql() -> dict[str, str]:
     """DuckDB SQL where SQL can express the operator and finishes on whole tables."""
-    return {}
+    return sql.all_sql()
