@@ -145,38 +145,52 @@ def _few_flips(a: str, b: str, most: int):
     return flips <= most
 
 
-def _stragglers(members: DataFrame, most: int) -> DataFrame:
-    """Pairs a < b of one bucket and different components that the sketches allow.
+def _stragglers(members: DataFrame, most: int, similarity: float) -> DataFrame:
+    """Links a < b between members of one bucket that are in different components.
 
-    ``members``: bucket, node, component, hub (component of the bucket's hub), sketch.
-    One side are members outside the hub's component. Both sides are dealt into
-    blocks, so a task sees at most BLOCK by BLOCK members of a bucket.
+    ``members``: bucket, node, component, odd (not in the component of the bucket's
+    hub), sketch, set. One side of a pair is odd. Both sides are dealt into blocks, so a
+    task sees at most BLOCK by BLOCK members of a bucket; what the sketches and the sizes
+    of the sets allow is confirmed there on the full sets, and links alone leave the task.
     """
+    percent = round(100 * similarity)
     sizes = members.groupBy("bucket").agg(
+        F.count("*").alias("rows"),
         F.ceil(F.count("*") / BLOCK).cast("int").alias("rows_blocks"),
-        F.ceil(F.sum((F.col("component") != F.col("hub")).cast("int")) / BLOCK).cast("int").alias("odd_blocks"),
+        F.ceil(F.count_if("odd") / BLOCK).cast("int").alias("odd_blocks"),
     )
-    sized = members.join(sizes, "bucket")
+    sized = members.join(sizes.filter("rows > 1 and odd_blocks > 0"), "bucket")
     block = F.pmod(F.xxhash64("node"), F.col("rows_blocks")).cast("int")
     odd_block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("odd_blocks")).cast("int")
-    rows = sized.select("bucket", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("odd_blocks") - 1)).alias("odd"), "node", "component", "sketch", F.lit(False).alias("asks"))
-    asks = sized.filter(F.col("component") != F.col("hub")).select("bucket", F.explode(F.sequence(F.lit(0), F.col("rows_blocks") - 1)).alias("block"), odd_block.alias("odd"), "node", "component", "sketch", F.lit(True).alias("asks"))
+    everywhere = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    rows = sized.select("bucket", block.alias("block"), everywhere("odd_blocks").alias("part"), "node", "component", "sketch", "set", F.lit(False).alias("asks"))
+    asks = sized.filter("odd").select("bucket", everywhere("rows_blocks").alias("block"), odd_block.alias("part"), "node", "component", "sketch", "set", F.lit(True).alias("asks"))
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+    def links(group: pd.DataFrame) -> pd.DataFrame:
         ask, row = group[group["asks"]], group[~group["asks"]]
-        out = []
+        found: set[tuple[int, int]] = set()
         if len(ask) and len(row):
-            sketches = np.stack([np.frombuffer(s, np.uint64) for s in row["sketch"]])
-            nodes, comps = row["node"].to_numpy(), row["component"].to_numpy()
-            for node, comp, sketch in zip(ask["node"], ask["component"], ask["sketch"], strict=True):
-                flips = np.bitwise_count(sketches ^ np.frombuffer(sketch, np.uint64)).sum(axis=1)
-                near = nodes[(flips <= most) & (comps != comp)]
-                if len(near):
-                    out.append(np.stack([np.minimum(near, node), np.maximum(near, node)], axis=1))
-        flat = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            sketches = np.stack([np.frombuffer(x, np.uint64) for x in row["sketch"]])
+            nodes, comps, sets = row["node"].to_numpy(), row["component"].to_numpy(), row["set"].to_numpy()
+            count = np.array([len(x) for x in sets])
+            for node, comp, sketch, mine in zip(ask["node"], ask["component"], ask["sketch"], ask["set"], strict=True):
+                near = (100 * np.minimum(count, len(mine)) >= percent * np.maximum(count, len(mine))) & (comps != comp)
+                near = np.flatnonzero(near)
+                flips = np.bitwise_count(sketches[near] ^ np.frombuffer(sketch, np.uint64)).sum(axis=1)
+                near = near[flips <= most]
+                if not len(near):
+                    continue
+                n = count[near]
+                values = np.concatenate(sets[near])
+                order = np.sort(mine)
+                hit = order[np.minimum(np.searchsorted(order, values), len(order) - 1)] == values
+                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(n) - n)
+                for other in nodes[near[100 * common >= percent * (n + len(mine) - common)]].tolist():
+                    found.add((min(node, other), max(node, other)))
+        flat = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": flat[:, 0], "b": flat[:, 1]})
 
-    return rows.union(asks).groupBy("bucket", "block", "odd").applyInPandas(pairs, "a long, b long").distinct()
+    return rows.union(asks).groupBy("bucket", "block", "part").applyInPandas(links, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -206,10 +220,13 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     # Buckets that still hold several components.
     named = met.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("bucket")
-    hub_of = hubs.join(found, F.col("hub") == F.col("node"), "left").select("bucket", F.coalesce("component", "hub").alias("hub"))
-    members = named.join(split, "bucket").join(hub_of, "bucket").join(sketches, "node")
-    more = _stragglers(members, most).join(stars, ["a", "b"], "left_anti")
-    again = written(confirmed(more, full, similarity), "links")
+    hub_of = hubs.join(found, F.col("hub") == F.col("node"), "left").select("bucket", "hub", F.coalesce("component", "hub").alias("hub_component"))
+    # The hub's own pairs are settled; buckets of two are done.
+    members = named.join(split, "bucket").join(hub_of, "bucket").filter("node != hub")
+    members = members.select("bucket", "node", "component", (F.col("component") != F.col("hub_component")).alias("odd"))
+    inside = members.groupBy("bucket").agg(F.count("*").alias("n"), F.max("odd").alias("any_odd")).filter("n > 1 and any_odd")
+    members = members.join(inside.select("bucket"), "bucket", "left_semi").join(sketches, "node").join(full, "node")
+    again = written(_stragglers(members, most, similarity), "links")
     if not again.isEmpty():
         found = written(components(links.union(again)), "components")
 
