@@ -24,6 +24,10 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 BROADCAST_PASSES = 8
 
+# So few distinct prefixes become conditions of the scan, cut to this many characters.
+FEW_PREFIXES = 100
+STEM = 64
+
 # A prefix repeated in more queries than this is spread over several tasks when
 # the answers are handed back.
 HOT_COPIES = 200_000
@@ -38,6 +42,8 @@ class QueryProfile(NamedTuple):
     queries: int
     max_copies: int
     max_k: int
+    first: str | None
+    last: str | None
     lengths: tuple[int, ...]
 
     def broadcasts(self) -> int:
@@ -76,6 +82,8 @@ def profile_queries(distinct: DataFrame) -> QueryProfile:
         F.coalesce(F.sum("copies"), F.lit(0)).alias("queries"),
         F.coalesce(F.max("copies"), F.lit(0)).alias("max_copies"),
         F.coalesce(F.max("k"), F.lit(1)).alias("max_k"),
+        F.min("prefix").alias("first"),
+        F.max(F.left("prefix", F.lit(1))).alias("last"),
         F.sort_array(F.collect_set(F.length("prefix"))).alias("lengths"),
     ).first()
     return QueryProfile(**{**row.asDict(), "lengths": tuple(row["lengths"])})
@@ -121,6 +129,24 @@ def heaviest_first(keyed: DataFrame) -> list[Column]:
     return [F.desc("weight"), F.desc("key"), *spelling]
 
 
+def narrowed(keyed: DataFrame, distinct: DataFrame, profile: QueryProfile) -> DataFrame:
+    """``keyed`` without entries that no prefix can match; both conditions reach a stored scan.
+
+    Always the range from the smallest prefix to the end of the last first
+    character, which the profile knows; for few prefixes their stems as well.
+    The empty prefix matches everything.
+    """
+    if not profile.first:
+        return keyed
+    key = F.col("key")
+    up_to_last = (key < F.lit(profile.last)) | key.startswith(F.lit(profile.last))
+    keyed = keyed.filter((key >= F.lit(profile.first)) & up_to_last)
+    if profile.prefixes <= FEW_PREFIXES:
+        stems = [r[0] for r in distinct.select(F.left("prefix", F.lit(STEM))).distinct().collect()]
+        keyed = keyed.filter(reduce(Column.__or__, [key.startswith(F.lit(s)) for s in sorted(stems)]))
+    return keyed
+
+
 def reduce_by_prefix(
     keyed: DataFrame,
     distinct: DataFrame,
@@ -138,7 +164,7 @@ def reduce_by_prefix(
     that the exploded dictionary is reduced first, with map-side cuts, and the
     reduced rows meet the prefixes on the exchange that the reduction made.
     """
-    exploded = explode_prefixes(keyed, "key", profile.lengths)
+    exploded = explode_prefixes(narrowed(keyed, distinct, profile), "key", profile.lengths)
     wanted, how = distinct.select("prefix", *carry), "inner" if carry else "left_semi"
     broadcasts = profile.broadcasts()
     if broadcasts == 0:

@@ -154,7 +154,7 @@ def test_lengths_are_generated_or_listed(spark, entries):
 def test_profile(spark):
     queries = ask(spark, [("a", 1), ("a", 7), ("é", 2), ("", 3), ("abc", 1)])
     profile = profile_queries(distinct_prefixes(with_prefix(queries, True)))
-    assert profile == (4, 6, 87, 5, 2, 7, (0, 1, 3))
+    assert profile == (4, 6, 87, 5, 2, 7, "", "é", (0, 1, 3))
     assert profile.broadcasts() == 1
     assert profile._replace(prefixes=sizing.BROADCAST_ROWS + 1).broadcasts() == 3
     assert profile._replace(prefix_bytes=2 * sizing.BROADCAST_BYTES).broadcasts() == 4

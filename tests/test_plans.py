@@ -198,3 +198,19 @@ def test_merge_tree_bounds_every_task():
         for level in [*topn.merge_tree(n), 1]:
             assert -(-parts // level) * n <= topn.ROWS_PER_TASK + n
             parts = level
+
+
+def test_a_small_batch_prunes_the_stored_dictionary(spark, entries, tmp_path):
+    rows = [(f"w{i:05d}", i) for i in range(20_000)]
+    fs.save_dictionary(entries(rows), str(tmp_path / "d"))
+    stored = fs.load_dictionary(spark, str(tmp_path / "d"))
+    found = fs.complete_batch(stored, fs.queries_from(spark, ["w001", "w1", "w0012"], 2))
+    plan = plan_of(found)
+    pushed = plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(text,w001)" in pushed and "Or(LessThan(text,w),StringStartsWith(text,w))" in pushed
+    assert 'StartsWith(text#' in plan and "w0012)" in plan
+    assert sorted((r.qid, r.text) for r in found.collect()) == sorted(
+        (i, t) for i, q in enumerate(["w001", "w1", "w0012"]) for t, _ in best(rows, q, 2)
+    )
+    counts = dict(map(tuple, fs.match_counts(stored, fs.queries_from(spark, ["", "w1", "zz"])).collect()))
+    assert counts == {0: 20_000, 1: 10_000, 2: 0}
