@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forespell.llm.ship import give_back
 from forespell.llm.words import per_row, slices, words
 
 _MARKS = b"!?|%$#&*@^~=+<>{}[]\\/_"
@@ -139,7 +140,10 @@ def train(documents: DataFrame, labels: DataFrame, trains: Column, label: str =
     got = texts.select("doc_id", "text", "label").mapInArrow(rows, "doc_id long, label int, f array<double>").toPandas()
     got = got.sort_values(["doc_id"], kind="stable")
     x = np.stack(got["f"].to_list()) if len(got) else np.zeros((0, len(FEATURES)))
-    return fit(x, got["label"].to_numpy())
+    model = fit(x, got["label"].to_numpy())
+    del got
+    give_back()
+    return model
 
 
 def score(documents: DataFrame, model: QualityModel) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -28,3 +31,10 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+def give_back() -> None:
+    """Return freed memory of the driver's Python to the system after a model was fitted."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
