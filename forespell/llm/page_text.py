@@ -313,8 +313,11 @@ def examples(pages: list[str]) -> list[tuple[list[Block], list[int]]]:
 def train(pages: DataFrame, most: int = MOST_PAGES) -> Field:
     """Fit on a bounded sample of the pages, those of smallest hash."""
     marked = pages.filter(F.col("html").isNotNull() & (F.length("html") < 20_000) & F.lower("html").rlike("<(article|main)[ >]"))
-    sample = marked.select("html", F.xxhash64("html").alias("h")).orderBy("h", "html").limit(most)
-    return fit(examples([r["html"] for r in sample.collect()]))
+    hashed = marked.select("html", F.xxhash64("html").alias("h"))
+    # The cut is found on hashes alone; then only the sample's pages reach the driver.
+    cut = hashed.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    sample = hashed.filter(F.col("h") <= F.lit(cut)).dropDuplicates(["h"]) if cut is not None else hashed.limit(0)
+    return fit(examples([r["html"] for r in sorted(sample.collect(), key=lambda r: r["h"])]))
 
 
 def extract(pages: DataFrame, model: Field) -> DataFrame:
