@@ -98,22 +98,27 @@ def heavy_counts(corpora: list[DataFrame]) -> tuple[list[Heavy], np.ndarray, np.
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A share of HEAVY of all tokens is one of at least HEAVY in some slice.
         seen: list[dict[int, int]] = [{}, {}]
+        total = 0
         for _, data, offsets in slices(batches, "text"):
             word, context, _ = tokens(data, offsets)
+            total += len(word)
             for kind, items in enumerate(_items(word, context)):
                 values, n = np.unique(items, return_counts=True)
                 often_here = n >= max(2, HEAVY * len(word))
                 for item, k in zip(values[often_here].tolist(), n[often_here].tolist(), strict=True):
                     seen[kind][item] = seen[kind].get(item, 0) + k
+        yield pa.record_batch({"kind": pa.array([2], pa.int32()), "item": pa.array([0], pa.int64()), "n": pa.array([total], pa.int64())})
         for kind in (0, 1):
             if seen[kind]:
                 yield pa.record_batch({"kind": pa.array([kind] * len(seen[kind]), pa.int32()), "item": pa.array(np.array(list(seen[kind]), np.uint64).view(np.int64)), "n": pa.array(list(seen[kind].values()))})
 
     named = [c.select("text").mapInArrow(often, "kind int, item long, n long") for c in corpora]
     candidates = written(named[0].union(named[1]).groupBy("kind", "item").agg(F.sum("n").alias("n")), "candidates")
-    # These sums are lower bounds; at most 4 / HEAVY items can reach a quarter of HEAVY.
-    most = int(4 / HEAVY)
-    chosen = [np.sort(np.array([r["item"] for r in candidates.filter(F.col("kind") == kind).orderBy(F.desc("n"), "item").limit(most).collect()], np.int64).view(np.uint64)) for kind in (0, 1)]
+    # These sums are lower bounds: what is heavy twice over reaches a quarter of HEAVY for
+    # certain, and at most 4 / HEAVY items can.
+    every = candidates.filter("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often_enough = candidates.filter((F.col("kind") < 2) & (F.col("n") >= HEAVY / 4 * every)).collect()
+    chosen = [np.sort(np.array([r["item"] for r in often_enough if r["kind"] == kind], np.int64).view(np.uint64)) for kind in (0, 1)]
     spark = corpora[0].sparkSession
     shared = spark.sparkContext.broadcast(chosen)
 
