@@ -145,15 +145,11 @@ def _few_flips(a: str, b: str, most: int):
     return flips <= most
 
 
-def _stragglers(members: DataFrame, most: int, similarity: float) -> DataFrame:
-    """Links a < b between members of one bucket that are in different components.
+def _blocks(members: DataFrame, carried: list[str]) -> DataFrame:
+    """The members of each bucket dealt into blocks: every odd one (``asks``) meets every one.
 
-    ``members``: bucket, node, component, odd (not in the component of the bucket's
-    hub), sketch, set. One side of a pair is odd. Both sides are dealt into blocks, so a
-    task sees at most BLOCK by BLOCK members of a bucket; what the sketches and the sizes
-    of the sets allow is confirmed there on the full sets, and links alone leave the task.
+    A task sees at most about BLOCK by BLOCK members of a bucket.
     """
-    percent = round(100 * similarity)
     sizes = members.groupBy("bucket").agg(
         F.count("*").alias("rows"),
         F.ceil(F.count("*") / BLOCK).cast("int").alias("rows_blocks"),
@@ -163,8 +159,52 @@ def _stragglers(members: DataFrame, most: int, similarity: float) -> DataFrame:
     block = F.pmod(F.xxhash64("node"), F.col("rows_blocks")).cast("int")
     odd_block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("odd_blocks")).cast("int")
     everywhere = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    rows = sized.select("bucket", block.alias("block"), everywhere("odd_blocks").alias("part"), "node", "component", "sketch", "set", F.lit(False).alias("asks"))
-    asks = sized.filter("odd").select("bucket", everywhere("rows_blocks").alias("block"), odd_block.alias("part"), "node", "component", "sketch", "set", F.lit(True).alias("asks"))
+    rows = sized.select("bucket", block.alias("block"), everywhere("odd_blocks").alias("part"), *carried, F.lit(False).alias("asks"))
+    asks = sized.filter("odd").select("bucket", everywhere("rows_blocks").alias("block"), odd_block.alias("part"), *carried, F.lit(True).alias("asks"))
+    return rows.union(asks)
+
+
+def _likely(members: DataFrame, most: int, percent: int) -> DataFrame:
+    """bucket, node: the members with a partner that sketches and sizes allow.
+
+    A pair counts in the first band it shares alone, so few rows carry sets onwards.
+    """
+
+    def flagged(group: pd.DataFrame) -> pd.DataFrame:
+        ask, row = group[group["asks"]], group[~group["asks"]]
+        seen = np.zeros(len(row), bool)
+        out: list[int] = []
+        if len(ask) and len(row):
+            sketches = np.stack([np.frombuffer(x, np.uint64) for x in row["sketch"]])
+            bands = np.stack(row["bands"].to_numpy())
+            comps, count = row["component"].to_numpy(), row["n_shingles"].to_numpy()
+            bucket = group["bucket"].iloc[0]
+            for node, comp, sketch, own, n in zip(ask["node"], ask["component"], ask["sketch"], ask["bands"], ask["n_shingles"], strict=True):
+                near = np.flatnonzero((100 * np.minimum(count, n) >= percent * np.maximum(count, n)) & (comps != comp))
+                near = near[np.bitwise_count(sketches[near] ^ np.frombuffer(sketch, np.uint64)).sum(axis=1) <= most]
+                near = near[own[np.argmax(bands[near] == own, axis=1)] == bucket]
+                if len(near):
+                    seen[near] = True
+                    out.append(node)
+        nodes = np.unique(np.concatenate([row["node"].to_numpy()[seen], np.array(out, np.int64)]))
+        return pd.DataFrame({"bucket": np.full(len(nodes), group["bucket"].iloc[0]), "node": nodes})
+
+    blocks = _blocks(members, ["node", "component", "sketch", "bands", "n_shingles"])
+    return blocks.groupBy("bucket", "block", "part").applyInPandas(flagged, "bucket long, node long").distinct()
+
+
+def _stragglers(members: DataFrame, full: DataFrame, most: int, similarity: float) -> DataFrame:
+    """Links a < b between members of one bucket that are in different components.
+
+    ``members``: bucket, node, component, odd (not in the component of the bucket's
+    hub), sketch, bands, n_shingles. One side of a pair is odd. What the sketches and
+    the sizes of the sets allow is confirmed where it meets, on the full sets, and links
+    alone leave the task.
+    """
+    percent = round(100 * similarity)
+    members = written(members, "members")
+    likely = members.join(_likely(members, most, percent), ["bucket", "node"], "left_semi")
+    likely = likely.select("bucket", "node", "component", "odd", "sketch").join(full, "node")
 
     def links(group: pd.DataFrame) -> pd.DataFrame:
         ask, row = group[group["asks"]], group[~group["asks"]]
@@ -190,7 +230,8 @@ def _stragglers(members: DataFrame, most: int, similarity: float) -> DataFrame:
         flat = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": flat[:, 0], "b": flat[:, 1]})
 
-    return rows.union(asks).groupBy("bucket", "block", "part").applyInPandas(links, "a long, b long").distinct()
+    blocks = _blocks(likely, ["node", "component", "sketch", "set"])
+    return blocks.groupBy("bucket", "block", "part").applyInPandas(links, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -202,14 +243,14 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     classes = sets.filter("n_shingles > 0").groupBy("sum", "xor", "n_shingles").agg(F.min("doc_id").alias("node"))
     classes = written(classes, "classes")
     nodes = classes.filter("node is not null")
-    picked = sets.join(nodes.select("node"), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "bands", "sketch").dropDuplicates(["node"])
+    picked = sets.join(nodes.select("node"), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch").dropDuplicates(["node"])
     met = picked.select("node", F.explode("bands").alias("bucket"))
     sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     met = written(met.join(sizes, "bucket"), "met")
     shared = met.groupBy("node").agg(F.sum("n").alias("degree"))
     hubs = met.join(shared, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
     stars = met.join(hubs, "bucket").filter("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    sketches = written(picked.join(shared.select("node"), "node", "left_semi").select("node", "sketch"), "sketches")
+    sketches = written(picked.join(shared.select("node"), "node", "left_semi"), "sketches")
     left, right = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     stars = stars.join(left, "a").join(right, "b").filter(_few_flips("sa", "sb", most)).select("a", "b")
     texts = numbered.join(sketches.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
@@ -225,8 +266,8 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     members = named.join(split, "bucket").join(hub_of, "bucket").filter("node != hub")
     members = members.select("bucket", "node", "component", (F.col("component") != F.col("hub_component")).alias("odd"))
     inside = members.groupBy("bucket").agg(F.count("*").alias("n"), F.max("odd").alias("any_odd")).filter("n > 1 and any_odd")
-    members = members.join(inside.select("bucket"), "bucket", "left_semi").join(sketches, "node").join(full, "node")
-    again = written(_stragglers(members, most, similarity), "links")
+    members = members.join(inside.select("bucket"), "bucket", "left_semi").join(sketches, "node")
+    again = written(_stragglers(members, full, most, similarity), "links")
     if not again.isEmpty():
         found = written(components(links.union(again)), "components")
 
