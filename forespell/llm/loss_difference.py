@@ -10,8 +10,7 @@ smooth alike. With s the scale, c the counts in the target and s * c in the back
 
 and a document's score is the mean over its tokens (end sign included) of the loss
 ``-ln p(w|v)`` under the target less that under the background: lower is nearer to the
-target. Documents of the background are scored without their own pairs and words, but for
-the counts of heavy words (below), of which one text is a negligible part.
+target. Documents of the background are scored without their own counts.
 
 The logarithm of p(w|v) parts into one term that needs the counts of (v, w) and w and one
 that needs those of v. So one shuffle of all tokens by word suffices: the task that holds
@@ -21,8 +20,9 @@ document and task.
 
 Words and pairs with a share of ``HEAVY`` or more of all tokens (at most 1 / HEAVY of each,
 which bounds their broadcast) do not: two scans count them exactly beforehand. Tokens of
-heavy words go to tasks by pair, and heavy pairs are scored where they are read. So a word,
-line or passage that is everywhere makes no task larger.
+heavy words go to tasks by pair, with how often their own text has the word, and heavy pairs
+are scored where they are read. So a word, line or passage that is everywhere makes no task
+larger. Which words are heavy decides where the sums are made and not what they are.
 
 Null and empty texts consist of the end sign alone. Rows with null doc_id are counted and
 scored like others, so are repeated rows (each counts). With an empty target or no
@@ -173,21 +173,34 @@ def group_counts(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
-def _pack(word: np.ndarray, context: np.ndarray, doc: np.ndarray, side: int) -> bytes:
-    order = np.lexsort((context, word))
-    word, context, doc = word[order], context[order], doc[order]
-    keys, n = np.unique(word, return_counts=True)
-    head = np.array([side, len(keys), len(word)], np.int64)
-    return b"".join(x.tobytes() for x in (head, keys, n.astype(np.uint32), (context & np.uint64(0xFFFFFFFF)).astype(np.uint32), doc.astype(np.uint64)))
+def _short(values: np.ndarray) -> np.ndarray:
+    """In 16 bits if they fit, else in 32."""
+    return values.astype(np.uint16 if values.max(initial=0) < 1 << 16 else np.uint32)
 
 
-def _unpack(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    side, kinds, rows = np.frombuffer(data, np.int64, 3).tolist()
-    keys = np.frombuffer(data, np.uint64, kinds, 24)
-    n = np.frombuffer(data, np.uint32, kinds, 24 + 8 * kinds)
-    context = np.frombuffer(data, np.uint32, rows, 24 + 12 * kinds)
-    doc = np.frombuffer(data[24 + 12 * kinds + 4 * rows :], np.uint64, rows)
-    return side, np.repeat(keys, n), context, doc
+def _pack(word: np.ndarray, context: np.ndarray, doc: np.ndarray, own: np.ndarray, side: int) -> bytes:
+    """Rows sorted by word and context: distinct words and documents once, then what points to them."""
+    order = np.lexsort((context, word))
+    keys, n = np.unique(word, return_counts=True)
+    names, at = np.unique(doc[order], return_inverse=True)
+    arrays = [keys, names, n.astype(np.uint32), (context[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), _short(at)]
+    if own.any():
+        arrays.append(_short(own[order]))
+    head = np.array([side, len(arrays), *[a.itemsize << 40 | len(a) for a in arrays]], np.int64)
+    return b"".join(a.tobytes() for a in (head, *arrays))
+
+
+def _unpack(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Side, words, contexts, documents and own counts (0 where the word is not heavy)."""
+    side, count = np.frombuffer(data, np.int64, 2).tolist()
+    at, arrays = 8 * (2 + count), []
+    for entry in np.frombuffer(data, np.int64, count, 16).tolist():
+        size, length = entry >> 40, entry & ((1 << 40) - 1)
+        arrays.append(np.frombuffer(data[at : at + size * length], f"<u{size}"))
+        at += size * length
+    keys, names, n, context, doc = arrays[:5]
+    own = arrays[5] if count > 5 else np.zeros(len(context), np.uint16)
+    return side, np.repeat(keys, n), context, names[doc], own.astype(np.uint32)
 
 
 SCHEMA = "part int, payload binary, name long, doc_id long, n_tokens long, value double"
@@ -201,18 +214,19 @@ def _send(corpus: DataFrame, side: int, parts: int, shared) -> DataFrame:
         (heavy_words, heavy_pairs), sizes, texts = shared.value
         task = TaskContext.get().partitionId()
         seen = 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
 
         def blocks() -> Iterator[pa.RecordBatch]:
-            word, context, doc = (np.concatenate(x) for x in zip(*held, strict=True))
-            route = np.where(heavy_words.find(word) >= 0, pair(word, context), word)
-            part = (mix(route) % np.uint64(parts)).astype(np.int64)
+            word, context, doc, own = (np.concatenate(x) for x in zip(*held, strict=True))
+            route = np.where(own > 0, pair(word, context), word)
+            # Heavy and other words in blocks of their own: only the former carry counts.
+            part = (mix(route) % np.uint64(parts)).astype(np.int64) * 2 + (own > 0)
             order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            cuts = np.searchsorted(part[order], np.arange(2 * parts + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 mine = order[cuts[k] : cuts[k + 1]]
-                yield pa.RecordBatch.from_pylist([{"part": int(k), "payload": _pack(word[mine], context[mine], doc[mine], side)}], _ARROW)
+                yield pa.RecordBatch.from_pylist([{"part": int(k) // 2, "payload": _pack(word[mine], context[mine], doc[mine], own[mine], side)}], _ARROW)
             held.clear()
 
         for batch, data, offsets in slices(batches, "text"):
@@ -221,19 +235,24 @@ def _send(corpus: DataFrame, side: int, parts: int, shared) -> DataFrame:
             seen += batch.num_rows
             at = heavy_pairs.find(pair(word, context))
             there = np.flatnonzero(at >= 0)
+
+            def own(items: np.ndarray, rows: np.ndarray) -> np.ndarray:
+                """How often each item is in its own text."""
+                order, group = group_counts([rows, items])
+                out = np.empty(len(items), np.int64)
+                out[order] = np.bincount(group)[group] if len(group) else 0
+                return out
+
+            own_word = np.zeros(len(word), np.int64)
+            often = np.flatnonzero(heavy_words.find(word) >= 0)
+            own_word[often] = own(word[often], row[often])
             if side == 1:
                 value = np.zeros(batch.num_rows)
                 if len(there):
-                    # Own counts of pairs in each text.
-                    def own(items: np.ndarray) -> np.ndarray:
-                        order, group = group_counts([row, items])
-                        out = np.empty(len(items))
-                        out[order] = np.bincount(group)[group]
-                        return out
-
                     w = heavy_words.find(word[there])  # the word of a heavy pair is heavy
                     c_pair, c_word = heavy_pairs.counts[at[there]].copy(), heavy_words.counts[w].copy()
-                    c_pair[:, 1] -= own(pair(word, context))[there]
+                    c_pair[:, 1] -= own(pair(word, context)[there], row[there])
+                    c_word[:, 1] -= own_word[there]
                     terms = pair_terms(c_pair, c_word, sizes) + np.where(word[there] == END, 0.0, context_terms(c_word, sizes))
                     value += np.bincount(row[there], terms, batch.num_rows)
                 value += context_terms(np.array([[texts[0], texts[1] - 1]]), sizes)[0]
@@ -241,7 +260,7 @@ def _send(corpus: DataFrame, side: int, parts: int, shared) -> DataFrame:
                 to = (names % np.uint64(parts)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(to), pa.nulls(len(n), pa.binary()), pa.array(names.view(np.int64)), batch.column("doc_id"), pa.array(n), pa.array(value)], schema=_ARROW)
             rest = np.flatnonzero(at < 0)
-            held.append((word[rest], context[rest], names[row[rest]]))
+            held.append((word[rest], context[rest], names[row[rest]], own_word[rest].astype(np.uint32)))
             waiting += len(rest)
             if waiting >= HELD:
                 yield from blocks()
@@ -256,11 +275,11 @@ def _evaluate(blocks: list[bytes], shared, parts: int) -> Iterator[pa.RecordBatc
     """All tokens of one part: the sum of their terms for each document, packed by where its row is."""
     (heavy_words, _), sizes, _ = shared.value
     got = [_unpack(b) for b in blocks]
-    word, context, doc = (np.concatenate([g[k] for g in got]) for k in (1, 2, 3))
+    word, context, doc, own_heavy = (np.concatenate([g[k] for g in got]) for k in (1, 2, 3, 4))
     side = np.repeat([g[0] for g in got], [len(g[1]) for g in got])
     del got
     order = np.lexsort((doc, context, word))
-    word, context, doc, side = word[order], context[order], doc[order], side[order]
+    word, context, doc, side, own_heavy = word[order], context[order], doc[order], side[order], own_heavy[order]
 
     def starts(*keys: np.ndarray) -> np.ndarray:
         new = np.ones(len(word), bool)
@@ -280,7 +299,7 @@ def _evaluate(blocks: list[bytes], shared, parts: int) -> Iterator[pa.RecordBatc
     by_doc, group = group_counts([word, doc])
     own = np.empty(len(word))
     own[by_doc] = np.bincount(group)[group]
-    c_word[:, 1] -= np.where(heavy >= 0, 0, own)
+    c_word[:, 1] -= np.where(heavy >= 0, own_heavy, own)
     keep = side == 1
     c_word, c_pair = np.maximum(c_word[keep], 0), np.maximum(c_pair[keep], 0)
     terms = pair_terms(c_pair, c_word, sizes) + np.where(word[keep] == END, 0.0, context_terms(c_word, sizes))

@@ -18,18 +18,17 @@ def tokens(text):
     return [*re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), "</s>"]
 
 
-def brute(documents, target, heavy_share):
+def brute(documents, target):
     aimed, behind = [tokens(t) for t in target], [tokens(t) for t in documents]
     pairs = lambda x: list(zip(["<s>", *x[:-1]], x, strict=True))
     words = [Counter(w for x in side for w in x) for side in (aimed, behind)]
     both = [Counter(p for x in side for p in pairs(x)) for side in (aimed, behind)]
     sizes = [sum(c.values()) for c in words]
-    heavy = {w for w in words[0] | words[1] if words[0][w] + words[1][w] >= heavy_share * sum(sizes)}
     nt, scale = max(sizes[0], 1), max(sizes[0], 1) / sizes[1]
     out = []
     for x in behind:
         own, own_pairs, total = Counter(x), Counter(pairs(x)), 0.0
-        count = lambda w: (words[0][w], scale * (words[1][w] - (0 if w in heavy else own[w])))  # noqa: B023, E731
+        count = lambda w: (words[0][w], scale * (words[1][w] - own[w]))  # noqa: B023, E731
         for v, w in pairs(x):
             a, b = count(w)
             q = (a + b + lm.FLOOR) / (2 * nt + 1)
@@ -48,7 +47,7 @@ def test_query_against_plain_counting(spark, monkeypatch, share):
     docs = queries.table(spark, SF_DIR, "documents").orderBy("doc_id").collect()
     target = [r["text"] for r in queries.table(spark, SF_DIR, "conversations").collect()]
     got = sorted(map(tuple, queries.op5_loss_difference(spark, SF_DIR).collect()))
-    want = brute([r["text"] for r in docs], target, share)
+    want = brute([r["text"] for r in docs], target)
     assert [g[:2] for g in got] == [(r["doc_id"], n) for r, (n, _) in zip(docs, want, strict=True)]
     assert [g[2] for g in got] == pytest.approx([s for _, s in want], abs=1e-5)
 
@@ -57,7 +56,7 @@ def test_odd_rows(spark, documents, prose):
     rows = [(1, None), (2, ""), (None, "the river stone"), (3, "the river stone"), (3, "the river stone"), (4, "line " * 100_000), (5, prose(1, 50))]
     target = spark.createDataFrame([("the river stone light", 1), (None, 2), ("the river", 3)], "text string, doc_id long")
     got = sorted([tuple(r) for r in lm.score(documents(rows), target).collect()], key=str)
-    want = brute([t for _, t in rows], ["the river stone light", None, "the river"], lm.HEAVY)
+    want = brute([t for _, t in rows], ["the river stone light", None, "the river"])
     expected = sorted([(i, n, s) for (i, _), (n, s) in zip(rows, want, strict=True)], key=str)
     assert [g[:2] for g in got] == [e[:2] for e in expected]
     assert sorted(g[2] for g in got) == pytest.approx(sorted(e[2] for e in expected), abs=1e-4)
