@@ -226,8 +226,10 @@ class Lattice:
                     path = path[1]
                 out.append((tail, ids))
                 continue
-            for edge in self.incoming(node):
-                order += 1
+            # Of equal scores the newest leaves first, the longest piece at that: ties are
+            # followed to the start one by one and not side by side.
+            for edge in reversed(self.incoming(node)):
+                order -= 1
                 behind = tail + self.score[edge]
                 source = int(self.src[edge])
                 heapq.heappush(queue, (-(self.best[source] + behind), order, source, behind, (edge, path)))

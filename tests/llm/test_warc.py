@@ -8,6 +8,7 @@ import random
 import pytest
 
 from forespell.llm import queries, warc
+from forespell.session import scratch_path
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -56,6 +57,6 @@ def test_odd_rows(spark):
     want = [(3, "revisit", 1, 4), (1, "response", None, 4), (1, "response", None, 4), (None, "revisit", 1, 4), (5, "response", None, 0), (6, "revisit", 5, 0), (None, "response", None, 4), (7, "response", None, 3_000_000)]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert warc.round_trip(pages.filter("false")).count() == 0
-    files = warc.write(pages, queries.scratch_path(spark, "warc"), least=10)
+    files = warc.write(pages, scratch_path(spark, "warc"), least=10)
     texts = [r["payload"].decode() for r in warc.read(files).collect()]
     assert sorted(texts) == sorted((r[2] or "") for r in rows)
