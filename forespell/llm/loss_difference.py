@@ -173,34 +173,48 @@ def group_counts(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
+def _home(names: np.ndarray, parts: int) -> np.ndarray:
+    """The part that adds up a document; its name is its task and its place in the task."""
+    return (mix(names + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+
+
 def _short(values: np.ndarray) -> np.ndarray:
     """In 16 bits if they fit, else in 32."""
     return values.astype(np.uint16 if values.max(initial=0) < 1 << 16 else np.uint32)
 
 
+def _join(first: int, second: int, arrays: list[np.ndarray]) -> bytes:
+    """Two numbers and some arrays of unsigned numbers, in one block."""
+    head = np.array([first, second, len(arrays), *[a.itemsize << 40 | len(a) for a in arrays]], np.int64)
+    return b"".join(a.tobytes() for a in (head, *arrays))
+
+
+def _part(data: bytes) -> tuple[int, int, list[np.ndarray]]:
+    first, second, count = np.frombuffer(data, np.int64, 3).tolist()
+    at, arrays = 8 * (3 + count), []
+    for entry in np.frombuffer(data, np.int64, count, 24).tolist():
+        size, length = entry >> 40, entry & ((1 << 40) - 1)
+        arrays.append(np.frombuffer(data[at : at + size * length], f"<u{size}"))
+        at += size * length
+    return first, second, arrays
+
+
 def _pack(word: np.ndarray, context: np.ndarray, doc: np.ndarray, own: np.ndarray, side: int) -> bytes:
-    """Rows sorted by word and context: distinct words and documents once, then what points to them."""
+    """Rows sorted by word and context; documents (numbers that rise in a task) by distance from the first."""
     order = np.lexsort((context, word))
     keys, n = np.unique(word, return_counts=True)
-    names, at = np.unique(doc[order], return_inverse=True)
-    arrays = [keys, names, n.astype(np.uint32), (context[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), _short(at)]
+    low = int(doc.min())
+    arrays = [keys, n.astype(np.uint32), (context[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), _short((doc - np.uint64(low))[order])]
     if own.any():
         arrays.append(_short(own[order]))
-    head = np.array([side, len(arrays), *[a.itemsize << 40 | len(a) for a in arrays]], np.int64)
-    return b"".join(a.tobytes() for a in (head, *arrays))
+    return _join(side, low, arrays)
 
 
 def _unpack(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Side, words, contexts, documents and own counts (0 where the word is not heavy)."""
-    side, count = np.frombuffer(data, np.int64, 2).tolist()
-    at, arrays = 8 * (2 + count), []
-    for entry in np.frombuffer(data, np.int64, count, 16).tolist():
-        size, length = entry >> 40, entry & ((1 << 40) - 1)
-        arrays.append(np.frombuffer(data[at : at + size * length], f"<u{size}"))
-        at += size * length
-    keys, names, n, context, doc = arrays[:5]
-    own = arrays[5] if count > 5 else np.zeros(len(context), np.uint16)
-    return side, np.repeat(keys, n), context, names[doc], own.astype(np.uint32)
+    side, low, (keys, n, context, doc, *own) = _part(data)
+    counts = own[0] if own else np.zeros(len(context), np.uint16)
+    return side, np.repeat(keys, n), context, doc.astype(np.uint64) + np.uint64(low), counts.astype(np.uint32)
 
 
 SCHEMA = "part int, payload binary, name long, doc_id long, n_tokens long, value double"
@@ -231,7 +245,7 @@ def _send(corpus: DataFrame, side: int, parts: int, shared) -> DataFrame:
 
         for batch, data, offsets in slices(batches, "text"):
             word, context, row = tokens(data, offsets)
-            names = mix(np.uint64(side + 1) + (np.uint64(task) << np.uint64(36)) + np.arange(seen, seen + batch.num_rows, dtype=np.uint64) * np.uint64(4))
+            names = (np.uint64(task) << np.uint64(32)) + np.arange(seen, seen + batch.num_rows, dtype=np.uint64)
             seen += batch.num_rows
             at = heavy_pairs.find(pair(word, context))
             there = np.flatnonzero(at >= 0)
@@ -257,7 +271,7 @@ def _send(corpus: DataFrame, side: int, parts: int, shared) -> DataFrame:
                     value += np.bincount(row[there], terms, batch.num_rows)
                 value += context_terms(np.array([[texts[0], texts[1] - 1]]), sizes)[0]
                 n = np.bincount(row, minlength=batch.num_rows)
-                to = (names % np.uint64(parts)).astype(np.int32)
+                to = _home(names, parts).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(to), pa.nulls(len(n), pa.binary()), pa.array(names.view(np.int64)), batch.column("doc_id"), pa.array(n), pa.array(value)], schema=_ARROW)
             rest = np.flatnonzero(at < 0)
             held.append((word[rest], context[rest], names[row[rest]], own_word[rest].astype(np.uint32)))
@@ -305,12 +319,14 @@ def _evaluate(blocks: list[bytes], shared, parts: int) -> Iterator[pa.RecordBatc
     terms = pair_terms(c_pair, c_word, sizes) + np.where(word[keep] == END, 0.0, context_terms(c_word, sizes))
     names, inverse = np.unique(doc[keep], return_inverse=True)
     sums = np.bincount(inverse, terms, len(names))
-    to = (names % np.uint64(parts)).astype(np.int64)
+    to = _home(names, parts)
     order = np.argsort(to, kind="stable")
     cuts = np.searchsorted(to[order], np.arange(parts + 1))
     for k in np.flatnonzero(np.diff(cuts)):
         mine = order[cuts[k] : cuts[k + 1]]
-        yield pa.RecordBatch.from_pylist([{"part": int(k), "payload": names[mine].tobytes() + sums[mine].astype(np.float32).tobytes()}], _ARROW)
+        tasks, n = np.unique(names[mine] >> np.uint64(32), return_counts=True)
+        arrays = [tasks.astype(np.uint32), n.astype(np.uint32), names[mine].astype(np.uint32), sums[mine].astype(np.float32).view(np.uint32)]
+        yield pa.RecordBatch.from_pylist([{"part": int(k), "payload": _join(0, 0, arrays)}], _ARROW)
 
 
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[pa.RecordBatch]]]:
@@ -355,9 +371,9 @@ def score(documents: DataFrame, target: DataFrame, parts: int | None = None) ->
             order = np.argsort(name)
             total = np.asarray(rows.column("value")).copy()
             for block in blocks:
-                n = len(block) // 12
-                at = order[np.searchsorted(name, np.frombuffer(block, np.uint64, n), sorter=order)]
-                total[at] += np.frombuffer(block, np.float32, n, 8 * n)
+                tasks, n, low, sums = _part(block)[2]
+                named = (np.repeat(tasks, n).astype(np.uint64) << np.uint64(32)) + low
+                total[order[np.searchsorted(name, named, sorter=order)]] += sums.view(np.float32)
             n_tokens = np.asarray(rows.column("n_tokens"))
             mean = np.where(n_tokens > 0, total / np.maximum(n_tokens, 1), 0.0)
             for batch in pa.table({"doc_id": rows.column("doc_id"), "n_tokens": rows.column("n_tokens"), "score": pa.array(mean)}).to_batches():
