@@ -243,7 +243,8 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     classes = sets.filter("n_shingles > 0").groupBy("sum", "xor", "n_shingles").agg(F.min("doc_id").alias("node"))
     classes = written(classes, "classes")
     nodes = classes.filter("node is not null")
-    picked = sets.join(nodes.select("node"), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch").dropDuplicates(["node"])
+    # Ids of documents have no bound: these joins shuffle at every size.
+    picked = sets.join(nodes.select("node").hint("shuffle_merge"), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch").dropDuplicates(["node"])
     met = picked.select("node", F.explode("bands").alias("bucket"))
     sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     met = written(met.join(sizes, "bucket"), "met")
@@ -253,7 +254,7 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     sketches = written(picked.join(shared.select("node"), "node", "left_semi"), "sketches")
     left, right = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     stars = stars.join(left, "a").join(right, "b").filter(_few_flips("sa", "sb", most)).select("a", "b")
-    texts = numbered.join(sketches.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    texts = numbered.join(sketches.select(F.col("node").alias("doc_id")).hint("shuffle_merge"), "doc_id", "left_semi")
     full = written(_shingle_sets(texts, words_per_shingle).withColumnRenamed("doc_id", "node").dropDuplicates(["node"]), "full")
     links = written(confirmed(stars, full, similarity), "links")
     found = written(components(links), "components")
@@ -286,5 +287,5 @@ def deduplicated(documents: DataFrame, words_per_shingle: int = 5, similarity: f
     """
     found = near_duplicates(documents, words_per_shingle, similarity)
     ids = written(found.filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    chosen = documents.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    chosen = documents.join(ids.hint("shuffle_merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return chosen.select(documents.columns).union(documents.filter("doc_id is null"))
