@@ -84,3 +84,12 @@ def test_components_of_a_path_and_a_star(spark):
     links = spark.createDataFrame([*path, *star, (None, 3), (4, 4)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(100, 141), 100), **dict.fromkeys([1, *range(200, 260)], 1)}
+
+
+def test_components_of_long_shuffled_paths(spark):
+    links, want = [], {}
+    for path, low in ((list(range(2, 401)) + [1], 1), (random.Random(3).sample(range(1_000, 1_400), 400), 1_000)):
+        links += zip(path, path[1:])
+        want |= dict.fromkeys(path, low)
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == want
