@@ -61,7 +61,7 @@ class Pieces:
             self.byte_id[value] = k
             self.bytes_of[k] = bytes([value])
         data, offsets = buffer(pa.array(text, pa.binary()))
-        hashes = span_hashes(data, offsets[:-1], offsets[1:])
+        hashes = PrefixSums(data).spans(offsets[:-1], offsets[1:])
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(usable, np.int32)[order]
         self.scores = np.array([model.get_score(k) for k in usable])[order]
@@ -77,7 +77,7 @@ class Pieces:
         starts = sorted({t[:k] for t in text for k in range(1, len(t))})
         data, offsets = buffer(pa.array(starts, pa.binary()))
         self.longer = np.zeros(1 << 21, bool)
-        self.longer[(span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(43)).astype(np.int64)] = True
+        self.longer[(PrefixSums(data).spans(offsets[:-1], offsets[1:]) >> np.uint64(43)).astype(np.int64)] = True
         self.flat, self.at = buffer(pa.array(self.bytes_of, pa.binary()))
 
     def find(self, hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -5,13 +5,16 @@ and their hashes come from array operations on that buffer, so a task costs a fe
 nanoseconds per byte. A text is never cut; a slice of a batch holds whole rows.
 
 A word is a longest run of bytes other than ``\\x20`` and ``\\x09-\\x0D``. The hash
-of a word is a polynomial over its bytes modulo 2**64, mixed; hashes of different
-words agree with probability about 2**-60, which everything built on them accepts.
+of a span takes eight bytes at a time into a 64-bit state that is mixed after each
+step (BLAKE2 for spans above ``LONG`` bytes), so no structure of the bytes makes hashes
+agree: different spans do so with the chance of 64 random bits (a pair among a million
+with 3e-8).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from functools import cache
 from typing import NamedTuple
 
@@ -29,6 +32,10 @@ _AS_IS = np.arange(256, dtype=np.uint8)
 LOWER = _AS_IS.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Spans above so many bytes are hashed one by one.
+LONG = 1024
+#: The low k bytes of eight.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class Words(NamedTuple):
@@ -81,7 +88,11 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PrefixSums:
-    """Hashes of any spans of some bytes."""
+    """Hashes of many overlapping short spans: a polynomial modulo 2**64.
+
+    For spans of up to some hundred bytes only (pieces of a vocabulary); longer ones can
+    be made to collide, see ``span_hashes``.
+    """
 
     def __init__(self, data: np.ndarray, table: np.ndarray = _AS_IS) -> None:
         up, self.down = powers(len(data))
@@ -93,12 +104,31 @@ class PrefixSums:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _AS_IS) -> np.ndarray:
-    """Hash of each span ``data[start:end]`` (none empty)."""
-    return PrefixSums(data, table).spans(start, end) if len(start) else np.zeros(0, np.uint64)
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _AS_IS, seed: int = 0) -> np.ndarray:
+    """Hash of each span ``data[start:end]`` after ``table``; other seeds give independent hashes."""
+    if table is not _AS_IS:
+        data = table[data]
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    left = end - start
+    out = (left + seed).astype(np.uint64) * np.uint64(_BASE)
+    long = np.flatnonzero(left > LONG)
+    active, state, at = np.flatnonzero(left <= LONG), out, start
+    if len(long):
+        key = seed.to_bytes(8, "little", signed=True)
+        out[long] = [int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8, key=key).digest(), "little") for i in long.tolist()]
+        state, at, left = out[active], start[active], left[active]
+    while len(active):
+        state = mix(state ^ (eight[at] & _LOW_BYTES[np.minimum(left, 8)]))
+        out[active] = state
+        more = left > 8
+        active, at, left = active[more], at[more] + 8, left[more] - 8
+        state = state[more] * np.uint64(0xD6E8FEB86659FD93)
+    return out
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, bare: bool = False) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, bare: bool = False, seed: int = 0) -> Words:
     """All words of the texts; ``fold`` hashes A-Z as a-z, ``bare`` also parts words at ASCII marks."""
     inside = ~(_MARK if bare else _SPACE)[data]
     edge = np.zeros(len(data) + 1, bool)
@@ -109,7 +139,7 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: bool = False, bare: bool
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(span_hashes(data, start, end, LOWER if fold else _AS_IS), doc, start, end, first)
+    return Words(span_hashes(data, start, end, LOWER if fold else _AS_IS, seed), doc, start, end, first)
 
 
 def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
-from forespell.llm.words import buffer, distinct, shingles, slices, words
+from forespell.llm.words import LONG, buffer, distinct, shingles, slices, span_hashes, words
 
 
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="aB é\t\n　日", max_size=30)), max_size=8))
@@ -37,3 +37,18 @@ def test_slices_keep_whole_rows():
     got = list(slices(iter([batch]), "text", 100_000))
     assert [t for part, _, _ in got for t in part.column("text").to_pylist()] == texts
     assert [part.num_rows for part, _, _ in got] == [1, 4]
+
+
+def test_texts_of_rich_structure_get_different_hashes():
+    """The words that collide under every polynomial modulo a power of two, and long equal runs."""
+    pairs = []
+    for length in (64, 512, 1024, 2048, 4096):
+        parity = [bin(i).count("1") & 1 for i in range(length)]
+        pairs += ["".join("ab"[p] for p in parity), "".join("ba"[p] for p in parity), "a" * length, "a" * (length + 1)]
+    data, offsets = buffer(pa.array(pairs))
+    found = span_hashes(data, offsets[:-1], offsets[1:])
+    assert len(set(found.tolist())) == len(set(pairs))
+    assert not set(found.tolist()) & set(span_hashes(data, offsets[:-1], offsets[1:], seed=1).tolist())
+    twice = np.concatenate([data, data])
+    assert (span_hashes(twice, offsets[:-1] + len(data), offsets[1:] + len(data)) == found).all()
+    assert max(np.diff(offsets)) > LONG > min(np.diff(offsets))
