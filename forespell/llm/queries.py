@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.llm import decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, sql, token_files, toxicity, warc
+from forespell.llm import decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, sql, token_files, toxicity, warc, whitening
 from forespell.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), n=3)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=4)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
