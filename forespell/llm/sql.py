@@ -47,5 +47,62 @@ SELECT page_id, octet_length(encode(body)) AS payload_bytes,
 FROM named"""
 
 
+def conversation_repair() -> str:
+    """crc32 from its definition, faults as windows, and the cheapest edits row by row for all conversations together."""
+    return r"""WITH RECURSIVE bits AS (
+  SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hashed AS (
+  SELECT named.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda k: CAST(ord(substr(name, CAST(k AS INTEGER), 1)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS INTEGER)])), 4294967295) % 20 AS fault
+  FROM named, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE fault <> 0),
+lined AS (
+  SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role, 1) AS c, lag(left(role, 1)) OVER w AS was
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text), copy)),
+marked AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM lined),
+best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '' AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM damaged
+  UNION ALL
+  SELECT conv_id, i, state, min(cost), arg_min(audit, (cost, audit)), arg_min(lines, (cost, audit)) FROM (
+    SELECT conv_id, i, e.state, e.cost, e.audit, e.lines FROM (
+      SELECT m.conv_id, m.i, unnest([
+        {'state': p.state, 'cost': p.cost + 3, 'audit': p.audit || 'D', 'lines': p.lines, 'ok': true},
+        {'state': p.next, 'cost': p.cost + 2 + more, 'audit': p.audit || 'R', 'lines': list_append(p.lines, p.role || ':' || m.text), 'ok': fault NOT IN ('b', 'd')},
+        {'state': m.c, 'cost': p.cost + more, 'audit': p.audit || 'K', 'lines': list_append(p.lines, m.role || ':' || m.text),
+         'ok': fault NOT IN ('b', 'd') AND (m.c = p.next OR (m.c = 's' AND p.state = ''))}]) AS e
+      FROM (SELECT *, CASE WHEN fault = 't' THEN 1 ELSE 0 END AS more FROM marked) m JOIN (
+        SELECT conv_id, i, state, cost, audit, lines, CASE WHEN state = 'u' THEN 'a' ELSE 'u' END AS next, CASE WHEN state = 'u' THEN 'assistant' ELSE 'user' END AS role FROM (
+          SELECT conv_id, i, unnest([
+            {'state': state, 'cost': cost, 'audit': audit, 'lines': lines},
+            {'state': CASE WHEN state = 'u' THEN 'a' ELSE 'u' END, 'cost': cost + 2, 'audit': audit || 'I', 'lines': list_append(lines, CASE WHEN state = 'u' THEN 'assistant:' ELSE 'user:' END)},
+            {'state': CASE WHEN state = 'u' THEN 'u' ELSE 'a' END, 'cost': cost + 4, 'audit': audit || 'II',
+             'lines': lines || CASE WHEN state = 'u' THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END}], max_depth := 2)
+          FROM best)) p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.i + 1) WHERE e.ok) GROUP BY conv_id, i, state),
+ended AS (
+  SELECT conv_id, min(cost + plus) AS cost, arg_min(audit || repeat('I', plus // 2), (cost + plus, audit || repeat('I', plus // 2))) AS audit,
+    arg_min(lines || CASE plus WHEN 2 THEN ['assistant:'] WHEN 4 THEN ['user:', 'assistant:'] ELSE [] END, (cost + plus, audit || repeat('I', plus // 2))) AS lines
+  FROM (SELECT *, CASE state WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END AS plus,
+          max(i) OVER (PARTITION BY conv_id) AS last FROM best) WHERE i = last GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (i > 1 AND was || c NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted x ON o.conv_id IS NOT DISTINCT FROM x.conv_id
+LEFT JOIN ended y ON o.conv_id IS NOT DISTINCT FROM y.conv_id"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": near_duplicates(3, 85), "op6_warc": archive_records()}
+    return {"op2_near_duplicates": near_duplicates(3, 85), "op6_warc": archive_records(), "op12_conversation_repair": conversation_repair()}
