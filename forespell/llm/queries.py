@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forespell.llm import conversation_repair, decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, sql, token_files, toxicity, warc, whitening
+from forespell.llm import conversation_repair, decontaminate, loss_difference, near_dup, neighbours, page_text, pieces, quality, sql, substring_dedup, token_files, toxicity, warc, whitening
 from forespell.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), n=3)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.deduplicated(table(spark, sf_dir, "documents"), size=13))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.digest(conversations, conversation_repair.repair(conversation_repair.damage(conversations)))

@@ -47,6 +47,21 @@ SELECT page_id, octet_length(encode(body)) AS payload_bytes,
 FROM named"""
 
 
+def substring_dedup(size: int) -> str:
+    """Every window as text, and the least document it starts in."""
+    return f"""WITH worded AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+starts AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + {size - 1}], ' ') AS span FROM (SELECT *, unnest(range(1, len(w) - {size - 2})) AS i FROM worded)),
+least AS (SELECT span, min(doc_id) AS low FROM starts GROUP BY span),
+gone AS (SELECT DISTINCT r, i + k AS p FROM (SELECT r, i FROM starts JOIN least USING (span) WHERE doc_id > low), range({size}) x(k)),
+listed AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM worded),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) FILTER (g.p IS NULL) AS kept, count(g.p) AS n
+  FROM listed l LEFT JOIN gone g USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (r)"""
+
+
 def conversation_repair() -> str:
     """crc32 from its definition, faults as windows, and the cheapest edits row by row for all conversations together."""
     return r"""WITH RECURSIVE bits AS (
@@ -105,4 +120,4 @@ LEFT JOIN ended y ON o.conv_id IS NOT DISTINCT FROM y.conv_id"""
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": near_duplicates(3, 85), "op6_warc": archive_records(), "op12_conversation_repair": conversation_repair()}
+    return {"op2_near_duplicates": near_duplicates(3, 85), "op6_warc": archive_records(), "op11_substring_dedup": substring_dedup(13), "op12_conversation_repair": conversation_repair()}
