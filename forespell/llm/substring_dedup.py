@@ -18,7 +18,7 @@ How it runs:
 * Windows travel as hashes. A task first looks within its slice of texts: what repeats there
   is settled there, and one row for each window goes on. So a window in a third of all
   documents is one row for each slice, not for each document; settled rows are dealt by
-  document. The rest are dealt by hash, counted and joined on the same exchange.
+  document. The rest are dealt by hash, and looked at in the exchange they came by.
 * The last level decides with two independent 64-bit hashes, the second cut to 32 bits.
   Earlier levels, which only sift, use one.
 * Texts are shuffled by doc_id once; all levels read that exchange.
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forespell.llm.components import written
@@ -231,10 +231,10 @@ def kept_text(data: np.ndarray, found, gone: np.ndarray) -> tuple[bytes, np.ndar
 
 
 def _repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with the least and the greatest document of each window, all on one exchange."""
-    dealt = rows.withColumn("lane", F.when(F.col("kind") == SETTLED, F.col("doc")).otherwise(F.lit(0).cast("long"))).repartition(*keys, "lane")
-    seen = dealt.groupBy(*keys, "lane").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("kind").alias("most"))
-    return dealt.join(seen, [*keys, "lane"])
+    """``rows`` with the least and the greatest document of each window, in one exchange."""
+    lane = F.when(F.col("kind") == SETTLED, F.col("doc")).otherwise(F.lit(0).cast("long"))
+    window = Window.partitionBy(*keys, "lane")
+    return rows.withColumn("lane", lane).withColumns({"low": F.min("doc").over(window), "high": F.max("doc").over(window), "most": F.max("kind").over(window)})
 
 
 def deduplicated(documents: DataFrame, size: int = 13) -> DataFrame:
