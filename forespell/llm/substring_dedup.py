@@ -135,11 +135,17 @@ _WINDOW = "hash long, other int, doc long, variant int, at int, kind byte"
 
 
 def _window_batch(hashes, other, docs, variants, at) -> pa.RecordBatch:
-    order = np.lexsort((docs, other, hashes))
+    """One row for each window and text, at its first place there; ``-1 - at`` says that there are more."""
+    order = np.lexsort((at, variants, docs, other, hashes))
     hashes, other, docs, variants, at = (x[order] for x in (hashes, other, docs, variants, at))
-    both = hashes ^ mix(other.astype(np.uint64) + np.uint64(1))
-    kind = settled(both, docs)
-    back = np.lexsort((at, docs))  # neighbours in a text stay neighbours: shuffled blocks compress
+    first = np.ones(len(at), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (other[1:] != other[:-1]) | (docs[1:] != docs[:-1]) | (variants[1:] != variants[:-1])
+    again = np.zeros(len(at), bool)
+    again[:-1] = ~first[1:]
+    at = np.where(again, -1 - at, at).astype(np.int32)
+    hashes, other, docs, variants, at = (x[first] for x in (hashes, other, docs, variants, at))
+    kind = settled(hashes ^ mix(other.astype(np.uint64) + np.uint64(1)), docs)
+    back = np.lexsort((np.where(at < 0, -1 - at, at), docs))  # neighbours in a text stay neighbours: shuffled blocks compress
     columns = (hashes.view(np.int64), other, docs, variants, at, kind)
     types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int8())
     return pa.record_batch({n: pa.array(c[back], t) for n, c, t in zip(("hash", "other", "doc", "variant", "at", "kind"), columns, types, strict=True)})
@@ -167,17 +173,20 @@ def _send(level: int, size: int):
                 if last:
                     other = (texts.windows(size, 1)[0][at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     yield _window_batch(found, other, docs, variants, (at - texts.first[row]).astype(np.int32))
-                else:  # one row for each window and document
-                    order = np.lexsort((docs, found))
-                    new = np.ones(len(order), bool)
-                    new[1:] = (found[order][1:] != found[order][:-1]) | (docs[order][1:] != docs[order][:-1])
-                    keep = order[new]
-                    zeros = np.zeros(len(keep), np.int32)
-                    yield _window_batch(found[keep], zeros, docs[keep], zeros, zeros)
+                else:
+                    zeros = np.zeros(len(at), np.int32)
+                    yield _window_batch(found, zeros, docs, zeros, zeros)
 
     return send
 
 
+def same_windows(texts: Texts, at: np.ndarray, size: int) -> np.ndarray:
+    """Where in their texts the windows at ``at`` stand, these places included."""
+    hashes, here = texts.windows(size)
+    named = mix(hashes ^ mix(texts.doc.astype(np.uint64) + np.uint64(1)))
+    return np.flatnonzero(here & np.isin(named, named[at]))
+
+
 def _digest(size: int):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words, covered words and the hash of the kept ones of each text."""
@@ -192,7 +201,11 @@ def _digest(size: int):
                 spans = lists.flatten()
                 at = spans.field("at").to_numpy(zero_copy_only=False)[spans.field("variant").to_numpy(zero_copy_only=False) == variants[row]]
                 row = row[spans.field("variant").to_numpy(zero_copy_only=False) == variants[row]]
-                at = at[~copy[row]] + found.first[row[~copy[row]]]
+                at, row = at[~copy[row]], row[~copy[row]]
+                again = at < 0
+                at = np.where(again, -1 - at, at) + found.first[row]
+                if again.any():
+                    at = np.append(at, same_windows(Texts(data, offsets), at[again], size))
                 words_after = len(found.doc) + 1
                 covered = np.bincount(at, minlength=words_after) - np.bincount(at + size, minlength=words_after)
                 covered += np.bincount(found.first[:-1][copy], minlength=words_after) - np.bincount(found.first[1:][copy], minlength=words_after)

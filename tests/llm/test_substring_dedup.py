@@ -52,6 +52,7 @@ def rows_of(seed, n):
         rows.append((d * 7 % n, "".join(w + draw.choice([" ", " ", "\n", " \t", "  "]) for w in words)))
     hot = " ".join(passage(40))
     rows += [(n + k, f"{hot} tail{k}" if k % 3 else hot) for k in range(n)]
+    rows += [(4 * n + k, f"start{k} " + "to and fro " * 30 + "to " + " ".join(passage(4))) for k in range(12)]
     return [*rows, (None, hot), (None, None), (5, None), (6, ""), (3, hot), (3, hot), (3, f"{hot} more"), (-4, "one two"), (9 * n, "one two"), (n * 9, " ".join(["again"] * 40)), (n * 10, " ".join(["again"] * 30))]
 
 
@@ -87,10 +88,14 @@ def test_planted_passage_survives_every_level(spark):
     assert got == {d: 13 if d % 2 and d > 1 else 0 for d in range(60)}
 
 
-def test_texts_are_shuffled_once(spark):
-    plan = sd.deduplicated(spark.createDataFrame([(k, "a b c " * 20) for k in range(50)], "doc_id long, text string").repartition(3))._jdf
-    text = plan.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in text and "CartesianProduct" not in text
+def test_common_windows_are_one_row_a_text_and_settled_by_document(spark):
+    """A window in all texts, many times in each: one row a text, dealt by document but for the least of the slice."""
+    rows = [(k, f"head{k} " + "round and " * 40) for k in range(90)]
+    docs = frame(spark, rows).repartition(3).selectExpr("doc_id AS doc", "text", "hash(text) AS variant", "cast(null AS array<int>) AS copies", "array(0L) AS repeated")
+    sent = docs.mapInArrow(sd._send(0, 4), sd._WINDOW).toPandas()
+    common = sent.groupby("hash").filter(lambda g: len(g) > 1)
+    assert common.groupby(["hash", "doc"]).size().max() == 1 and (common["at"] < 0).all()
+    assert (common["kind"] != sd.SETTLED).sum() <= 2 * 3 and (common["kind"] == sd.SETTLED).sum() >= 2 * 87
 
 
 def test_lengths_windows_and_samples():
