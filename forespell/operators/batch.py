@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,18 +13,21 @@ from forespell.operators.topk import check_ties, scan_candidates, scan_order, sc
 from forespell.plans.prefixes import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
+    LONG,
     QueryProfile,
+    by_size_of_k,
     distinct_prefixes,
-    explode_prefixes,
+    exploded_for,
     hand_back,
     heaviest_first,
     keyed_entries,
+    probably_asked,
     profile_queries,
     reduce_by_prefix,
     spelled,
     with_prefix,
 )
-from forespell.plans.topn import top_n
+from forespell.plans.topn import LIMIT_PUSHED, top_n, within_reach
 
 
 def complete_batch(
@@ -35,7 +40,8 @@ def complete_batch(
 ) -> DataFrame:
     """``qid, rank, text, weight``: the ``k`` best completions of every query.
 
-    ``queries`` has ``qid, q, k`` with ``k`` at least 1 (``normalise_queries``).
+    ``queries`` has ``qid, q, k`` with ``k`` at least 1 (``normalise_queries``); a
+    missing ``k`` is 10.
     Each distinct prefix is answered once, for the largest ``k`` anyone asks,
     and the answer is handed back to all its queries. With ``keep_unmatched`` a
     query without completions stays as one row of nulls.
@@ -76,24 +82,48 @@ def best_per_prefix(
 ) -> DataFrame:
     """``prefix, rank, text, weight`` for the prefixes in ``distinct``."""
     keyed = keyed_entries(dictionary, case_sensitive)
-    order, k = heaviest_first(keyed), profile.max_k
+    order = heaviest_first(keyed)
+    parts = by_size_of_k(distinct, profile, LIMIT_PUSHED)
 
-    def ranked(entries: DataFrame, wanted: DataFrame) -> DataFrame:
+    def best_of(wanted: DataFrame, sizes: QueryProfile, entries: DataFrame) -> DataFrame:
         # ranks above what anyone asked of a prefix end here, before they are handed back
-        rows = reduce_by_prefix(entries, wanted, profile, lambda e: top_n(e, ["prefix"], order, k), ["k"])
+        best = lambda e: top_n(first_rows(e, sizes, sizes.max_k), ["prefix"], order, sizes.max_k)
+        rows = reduce_by_prefix(entries, wanted, sizes, best, ["k"])
         return spelled(rows).filter(F.col("rank") <= F.col("k")).select("prefix", "rank", "text", "weight", "k")
 
+    def ranked(entries: DataFrame, but: DataFrame | None = None) -> DataFrame:
+        found = []
+        for wanted, sizes in parts:
+            rest = wanted if but is None else wanted.join(but, "prefix", "left_anti")
+            found.append(best_of(rest, sizes, entries))
+        return reduce(DataFrame.unionByName, found)
+
     if heavy_from is None:
-        return ranked(keyed, distinct).drop("k")
+        return ranked(keyed).drop("k")
     # A prefix with as many heavy matches as it needs is settled, for everything else is lighter.
     # What is common enough to be costly is settled here, on a small share of the
     # dictionary; the full pass is left with prefixes that match little.
-    heavy = ranked(keyed.filter(F.col("weight") >= heavy_from), distinct)
+    heavy = ranked(keyed.filter(F.col("weight") >= heavy_from))
     settled = heavy.filter(F.col("rank") == F.col("k")).select("prefix")
-    remaining = ranked(keyed, distinct.join(settled, "prefix", "left_anti"))
+    remaining = ranked(keyed, settled)
     return heavy.join(settled, "prefix", "left_semi").unionByName(remaining).drop("k")
 
 
+def first_rows(matches: DataFrame, sizes: QueryProfile, n: int, scan: bool = False) -> DataFrame:
+    """``matches`` cut by counts where no limit is pushed: what cannot be among the first ``n`` of its prefix goes.
+
+    Each prefix is held to what was asked of it, if that is known before the exchange.
+    Among equal weights the order goes by key, hence by the character after the prefix:
+    falling, or rising for the scan tie rule, whose positions rise with the key.
+    """
+    if n <= LIMIT_PUSHED:
+        return matches
+    asked = F.col("k") if "k" in matches.columns else F.lit(sizes.max_k)
+    wanted = scan_candidates(asked.cast("bigint")) if scan else asked
+    following = F.substring("key", F.length("prefix") + 1, F.lit(1))
+    return within_reach(matches, "prefix", following, wanted, tie_desc=not scan, small=sizes.broadcasts() > 0)
+
+
 def _complete_scan(
     dictionary: DataFrame,
     asked: DataFrame,
@@ -104,10 +134,15 @@ def _complete_scan(
 ) -> DataFrame:
     """The scan tie rule depends on ``k`` itself, so it is finished per (prefix, k)."""
     keyed = keyed_entries(dictionary, case_sensitive, "pos")
-    n = scan_candidates(profile.max_k)
-    candidates = reduce_by_prefix(
-        keyed, distinct, profile, lambda e: top_n(e, ["prefix"], scan_order(), n)
-    )
+
+
+    def candidates_of(part: DataFrame, sizes: QueryProfile) -> DataFrame:
+        n = scan_candidates(sizes.max_k)
+        first = lambda e: top_n(first_rows(e, sizes, n, scan=True), ["prefix"], scan_order(), n)
+        return reduce_by_prefix(keyed, part, sizes, first, ["k"]).drop("k")
+
+    parts = by_size_of_k(distinct, profile, (LIMIT_PUSHED + 1) // 2)
+    candidates = reduce(DataFrame.unionByName, [candidates_of(*part) for part in parts])
     wanted = asked.select("prefix", "k").distinct()
     finished = scan_ties(candidates.join(wanted, "prefix"), ["prefix", "k"], F.col("k"))
     finished = spelled(finished).select("prefix", F.col("k").alias("_k"), "rank", "text", "weight")
@@ -134,7 +169,9 @@ def match_entries(
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
     profile = profile_queries(distinct)
-    exploded = explode_prefixes(keyed_entries(dictionary, case_sensitive), "key", profile.lengths)
+    exploded = exploded_for(keyed_entries(dictionary, case_sensitive), distinct, profile)
+    if profile.broadcasts() == 0:
+        exploded = probably_asked(exploded, distinct, profile)
     wanted = asked.select("qid", "prefix")
     small = profile.broadcasts() == 1 and profile.queries <= BROADCAST_ROWS and profile.query_bytes <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted.hint("shuffle_merge")
@@ -168,17 +205,20 @@ def prefix_ranges(
 
     As long as the queries and their own prefixes can be broadcast, the ranges
     come from counts: the entries in front of a prefix are those that leave its
-    path at some character for a smaller one. Beyond that entries and prefixes
-    are sorted together.
+    path at some character for a smaller one. Beyond that, and for long prefixes,
+    entries and prefixes are sorted together.
     """
     asked = with_prefix(queries, case_sensitive)
     distinct = distinct_prefixes(asked)
     profile = profile_queries(distinct)
     keyed = keyed_entries(dictionary, case_sensitive)
-    steps = _path_steps(distinct)
-    nodes = distinct_prefixes(steps.select(F.col("node").alias("prefix")))
-    nodes_profile = profile_queries(nodes)
-    if nodes_profile.broadcasts() == 1:
+    nodes_profile = None
+    # the paths of long prefixes hold the square of their lengths: not even measured
+    if max(profile.lengths, default=0) <= LONG:
+        steps = _path_steps(distinct)
+        nodes = distinct_prefixes(steps.select(F.col("node").alias("prefix")))
+        nodes_profile = profile_queries(nodes)
+    if nodes_profile and nodes_profile.broadcasts() == 1:
         ranges = _ranges_by_counting(keyed, steps, nodes, nodes_profile)
     else:
         ranges = _ranges_by_sorting(keyed, distinct, profile)

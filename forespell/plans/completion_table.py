@@ -13,15 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forespell.plans.prefixes import explode_prefixes, heaviest_first, keyed_entries, spelled
-from forespell.plans.topn import top_n
+from forespell.plans.topn import LIMIT_PUSHED, top_n, within_reach
 
 # How many prefix lengths are exploded from one set of survivors.
 LENGTHS_PER_CUT = 5
 
 
+def _cut(rows: DataFrame, prefix: str, k: int) -> DataFrame:
+    """Before an exchange that no limit is pushed under: without what cannot be among the best ``k``."""
+    if k <= LIMIT_PUSHED:
+        return rows
+    following = F.substring("key", F.length(prefix) + 1, F.lit(1))
+    return within_reach(rows, prefix, following, F.lit(k), small=False)
+
+
 def exploded_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> DataFrame:
     """``prefix, rank`` and the columns of ``keyed``, by exploding every entry into its prefixes."""
-    exploded = explode_prefixes(keyed, "key", tuple(lengths))
+    exploded = _cut(explode_prefixes(keyed, "key", tuple(lengths)), "prefix", k)
     return top_n(exploded, ["prefix"], heaviest_first(keyed), k)
 
 
@@ -37,7 +45,7 @@ def rolled_up_rows(keyed: DataFrame, lengths: Sequence[int], k: int) -> list[Dat
     both halves read the same exchange.
     """
     longest = F.left(F.col("key"), F.lit(max(lengths)))
-    survivors = top_n(keyed.withColumn("longest", longest), ["longest"], heaviest_first(keyed), k)
+    survivors = top_n(_cut(keyed.withColumn("longest", longest), "longest", k), ["longest"], heaviest_first(keyed), k)
     survivors = survivors.drop("longest", "rank")
     if len(lengths) <= LENGTHS_PER_CUT:
         return [exploded_rows(survivors, lengths, k)]

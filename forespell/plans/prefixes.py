@@ -2,7 +2,8 @@
 
 A dictionary row is exploded into its prefixes of the lengths that occur among
 the queries, and those are matched by equality. Every pair that is formed is a
-real match, and no entry is compared with every query.
+real match, and no entry is compared with every query. Long prefixes are met in two
+steps, first by a few anchors, so that a long text is not cut at every length.
 """
 
 from __future__ import annotations
@@ -28,10 +29,28 @@ BROADCAST_PASSES = 8
 FEW_PREFIXES = 100
 STEM = 64
 
+# Longer prefixes are met by anchors: the first LONG characters, four times as many, and so
+# on. An entry has one row for each anchor, and further ones only below anchors it shares
+# with a query.
+LONG = 16
+STRIDE = 4
+
+# Rows of a bitmap of prefixes, 64 bits each; it is broadcast however many prefixes there are.
+BITMAP_ROWS = 1 << 20
+
 # A prefix repeated in more queries than this is spread over several tasks when
 # the answers are handed back.
 HOT_COPIES = 200_000
 
+# What a query without ``k`` gets, as in a request without one.
+DEFAULT_K = 10
+
+# Prefixes are answered together, for the largest ``k`` among them. Those that want
+# fewer get a pass of their own if the others would make an input partition ship more
+# rows for them than this.
+SPARE_ROWS = 1_000_000
+FEW_ROWS = 32
+
 
 class QueryProfile(NamedTuple):
     """Measured size of a query table; bounds what may be broadcast."""
@@ -61,9 +80,11 @@ class QueryProfile(NamedTuple):
 def with_prefix(queries: DataFrame, case_sensitive: bool) -> DataFrame:
     """Add ``prefix``, the form of ``q`` that is compared with the match key.
 
-    A missing ``q`` is the empty prefix.
+    A missing ``q`` is the empty prefix, a missing ``k`` is ``DEFAULT_K``.
     """
     asked = F.coalesce(F.col("q"), F.lit(""))
+    if "k" in queries.columns:
+        queries = queries.withColumn("k", F.coalesce("k", F.lit(DEFAULT_K)))
     return queries.withColumn("prefix", asked if case_sensitive else fold(asked))
 
 
@@ -89,6 +110,25 @@ def profile_queries(distinct: DataFrame) -> QueryProfile:
     return QueryProfile(**{**row.asDict(), "lengths": tuple(row["lengths"])})
 
 
+def by_size_of_k(distinct: DataFrame, profile: QueryProfile, pushed: int) -> list[tuple[DataFrame, QueryProfile]]:
+    """Parts of the prefixes that are answered together: few rows each, up to ``pushed``, more than that.
+
+    Without a reason to part them all stay together, and nothing is measured again.
+    """
+    parts, left, known = [], distinct, profile
+    for limit in (FEW_ROWS, pushed):
+        if known.prefixes * (known.max_k - limit) < SPARE_ROWS:
+            continue
+        smaller = left.filter(F.col("k") <= limit)
+        measured = profile_queries(smaller)
+        if measured.prefixes * (known.max_k - limit) < SPARE_ROWS:
+            continue
+        parts.append((smaller, measured))
+        left = left.filter(F.col("k") > limit)
+        known = profile_queries(left)
+    return [*parts, (left, known)]
+
+
 def explode_prefixes(keyed: DataFrame, key: str, lengths: tuple[int, ...]) -> DataFrame:
     """Add ``prefix``: one row per wanted length that the key is long enough for."""
     if not lengths:
@@ -108,6 +148,68 @@ def explode_prefixes(keyed: DataFrame, key: str, lengths: tuple[int, ...]) -> Da
     return cut.withColumn("prefix", F.left(F.col(key), F.col("_n"))).drop("_n")
 
 
+def anchor_lengths(lengths: tuple[int, ...]) -> list[int]:
+    """The anchors that prefixes of these lengths use: for each the longest that is no longer than it."""
+    used = set()
+    for n in lengths:
+        anchor = LONG
+        while n > LONG and anchor * STRIDE <= n:
+            anchor *= STRIDE
+        if n > LONG:
+            used.add(anchor)
+    return sorted(used)
+
+
+def explode_long_prefixes(
+    keyed: DataFrame, key: str, distinct: DataFrame, lengths: tuple[int, ...], small: bool
+) -> DataFrame:
+    """Add ``prefix`` for the prefixes above ``LONG`` characters.
+
+    An entry first meets the anchors of the prefixes, by equality. Only where it shares an
+    anchor it is cut to the lengths of the prefixes behind that anchor. So its rows are one
+    for each anchor length, and not one for each length that anybody asks for. ``small`` says
+    that the prefixes, and so their anchors, can be broadcast.
+    """
+    steps = F.array(*[F.lit(n) for n in anchor_lengths(lengths)])
+    size = F.length("prefix")
+    own = F.array_max(F.filter(steps, lambda n: n <= size))
+    anchors = distinct.filter(size > LONG).select(F.left("prefix", own).alias("_anchor"), size.alias("_n"))
+    anchors = anchors.groupBy("_anchor").agg(F.collect_set("_n").alias("_lengths"))
+    reached = F.filter(steps, lambda n: n <= F.length(key))
+    cut = keyed.filter(F.length(key) > LONG).withColumn("_n", F.explode(reached))
+    cut = cut.withColumn("_anchor", F.left(F.col(key), F.col("_n"))).drop("_n")
+    met = cut.join(F.broadcast(anchors) if small else anchors.hint("shuffle_merge"), "_anchor")
+    met = met.withColumn("_n", F.explode(F.filter("_lengths", lambda n: n <= F.length(key)))).drop("_lengths", "_anchor")
+    return met.withColumn("prefix", F.left(F.col(key), F.col("_n"))).drop("_n")
+
+
+def exploded_for(keyed: DataFrame, distinct: DataFrame, profile: QueryProfile) -> DataFrame:
+    """``keyed`` with ``prefix``, for short and long prefixes of ``distinct``."""
+    short = tuple(n for n in profile.lengths if n <= LONG)
+    if len(short) == len(profile.lengths):
+        return explode_prefixes(keyed, "key", short)
+    long = explode_long_prefixes(keyed, "key", distinct, profile.lengths, profile.broadcasts() > 0)
+    return explode_prefixes(keyed, "key", short).unionByName(long) if short else long
+
+
+def probably_asked(exploded: DataFrame, distinct: DataFrame, profile: QueryProfile) -> DataFrame:
+    """``exploded`` without most of the prefixes that nobody asks for.
+
+    A Bloom filter of one hash: the prefixes set bits of a bitmap, whose size is bounded, and
+    rows whose bit is not set need not be shuffled. Eight bits for each prefix let one in
+    eight others through; above eight million prefixes the share rises.
+    """
+    rows = 1
+    while rows < BITMAP_ROWS and rows * 8 < profile.prefixes:
+        rows *= 2
+    place = F.xxhash64("prefix")
+    word, bit = F.pmod(place, F.lit(rows)), F.shiftrightunsigned(place, 40).bitwiseAND(F.lit(63)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    bitmap = distinct.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits"))
+    held = exploded.withColumn("_word", word).join(F.broadcast(bitmap), "_word")
+    return held.filter(F.col("_bits").bitwiseAND(mask) != 0).drop("_word", "_bits")
+
+
 def keyed_entries(dictionary: DataFrame, case_sensitive: bool, *extra: str) -> DataFrame:
     """``key, weight`` and any extra columns, plus ``text`` where it differs from the key.
 
@@ -161,19 +263,21 @@ def reduce_by_prefix(
 
     As long as the prefixes can be broadcast, the dictionary is filtered where it
     is read, and only what ``reduce_rows`` keeps per partition is shuffled. Beyond
-    that the exploded dictionary is reduced first, with map-side cuts, and the
-    reduced rows meet the prefixes on the exchange that the reduction made.
+    that the exploded dictionary is sifted by a bitmap of the prefixes and reduced, with
+    map-side cuts, and the reduced rows meet the prefixes on the exchange that the
+    reduction made.
     """
-    exploded = explode_prefixes(narrowed(keyed, distinct, profile), "key", profile.lengths)
+    narrow = narrowed(keyed, distinct, profile)
     wanted, how = distinct.select("prefix", *carry), "inner" if carry else "left_semi"
     broadcasts = profile.broadcasts()
     if broadcasts == 0:
+        exploded = probably_asked(exploded_for(narrow, wanted, profile), wanted, profile)
         return reduce_rows(exploded).join(wanted.hint("shuffle_merge"), "prefix", how)
     slots = [wanted]
     if broadcasts > 1:
         slot = F.pmod(F.xxhash64("prefix"), F.lit(broadcasts))
         slots = [wanted.filter(slot == i) for i in range(broadcasts)]
-    parts = [reduce_rows(exploded.join(F.broadcast(some), "prefix", how)) for some in slots]
+    parts = [reduce_rows(exploded_for(narrow, some, profile).join(F.broadcast(some), "prefix", how)) for some in slots]
     return reduce(DataFrame.unionByName, parts)
 
 
