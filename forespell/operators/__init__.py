@@ -33,6 +33,7 @@ from forespell.operators.prepare import (
     with_folded,
     with_position,
 )
+from forespell.operators.ranges import heaviest_in_ranges, range_argmaxes
 from forespell.operators.topk import complete, heaviest_in_range
 
 __all__ = [
@@ -42,6 +43,7 @@ __all__ = [
     "complete_batch",
     "dedup",
     "heaviest_in_range",
+    "heaviest_in_ranges",
     "heavy_weight",
     "input_stats",
     "match_count",
@@ -53,6 +55,7 @@ __all__ = [
     "prefix_range",
     "prefix_ranges",
     "range_argmax",
+    "range_argmaxes",
     "range_filter",
     "row_counts",
     "sort_dictionary",

@@ -1,5 +1,6 @@
 """How the batch operators are laid out as Spark jobs: sizes, prefixes, roll-up, storage."""
 
+from forespell.plans.blocks import block_maxima, load_block_maxima, save_block_maxima
 from forespell.plans.completion_table import (
     build_completion_table,
     completion_rows,
@@ -10,12 +11,15 @@ from forespell.plans.completion_table import (
 from forespell.plans.store import load_dictionary, load_or_build, save_dictionary
 
 __all__ = [
+    "block_maxima",
     "build_completion_table",
     "completion_rows",
+    "load_block_maxima",
     "load_completion_table",
     "load_dictionary",
     "load_or_build",
     "pack_completions",
+    "save_block_maxima",
     "save_completion_table",
     "save_dictionary",
 ]

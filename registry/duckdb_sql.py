@@ -29,6 +29,10 @@ TYPED_WORDS = """typed_words AS (
   WHERE w <> '')"""
 EVENT_PREFIXES = """event_prefixes AS (
   SELECT event_id AS qid, left(event_type, CAST(event_id % 4 + 1 AS INTEGER)) AS q, 3 AS k FROM events)"""
+ORDER_RANGES = """ranges AS (
+  SELECT rid, lb, lb + CASE WHEN rid % 97 = 0 THEN 50000 ELSE rid % 400 - 20 END AS rb,
+         coalesce(CASE WHEN rid % 11 <> 0 THEN rid % 9 + 1 END, 10) AS k
+  FROM (SELECT o_orderkey AS rid, (o_custkey * 7 + o_orderkey) % 60000 AS lb FROM orders))"""
 LINES = """lines AS (
   SELECT CASE (l_orderkey + l_linenumber) % 9
     WHEN 0 THEN name || chr(9) || weight
@@ -251,6 +255,22 @@ count(*) FILTER (WHERE text < 'th' OR starts_with(text, 'th')) AS rb FROM words"
         + "SELECT text, weight, pos FROM positioned WHERE pos >= 10 AND pos < 40",
         "range_argmax": with_(PARTS, positions("parts"))
         + f"SELECT text, weight, pos FROM positioned WHERE pos BETWEEN 10 AND 39 {pick} 1",
+        "heaviest_in_ranges": with_(WORDS, positions("words"), ORDER_RANGES)
+        + """SELECT rid, rank, pos, text, weight FROM (
+  SELECT rid, k, pos, text, weight, CAST(row_number() OVER (PARTITION BY rid ORDER BY weight DESC, pos DESC) AS INTEGER) AS rank
+  FROM ranges JOIN positioned ON pos >= lb AND pos < rb) WHERE rank <= k""",
+        "heaviest_in_ranges_scan": with_(
+            WORDS,
+            positions("words"),
+            ORDER_RANGES,
+            "inside AS (SELECT rid, k, positioned.* FROM ranges JOIN positioned ON pos >= lb AND pos < rb)",
+            scan("inside", "k", "rid, k"),
+        )
+        + "SELECT rid, rank, pos, text, weight FROM kept WHERE rank <= k",
+        "range_argmaxes": with_(WORDS, positions("words"), ORDER_RANGES)
+        + """SELECT rid, pos, text, weight FROM (
+  SELECT rid, pos, text, weight, row_number() OVER (PARTITION BY rid ORDER BY weight DESC, pos DESC) AS place
+  FROM ranges JOIN positioned ON pos BETWEEN lb AND rb) WHERE place = 1""",
         "heaviest_in_range": with_(PARTS, positions("parts"))
         + f"""SELECT CAST(row_number() OVER (ORDER BY weight DESC, pos DESC) AS INTEGER) AS rank, pos, text, weight
 FROM positioned WHERE pos >= 5 AND pos < 60 {pick} 12""",
@@ -352,6 +372,13 @@ FROM asked JOIN ranked ON q = prefix WHERE rank <= k""",
         )
         + batch("words", "asked"),
         "complete_batch_large_k": with_(WORDS, large, ranked("words", "asked")) + batch("words", "asked"),
+        "complete_batch_whole_texts": with_(
+            TALKS,
+            """asked AS (
+  SELECT conv_id * 1000 + turn AS qid, CASE WHEN turn % 3 = 0 THEN left(text, length(text) // 2) ELSE text END AS q, 3 AS k FROM conversations)""",
+            ranked("talks", "asked"),
+        )
+        + batch("talks", "asked"),
         "complete_batch_long": with_(
             URLS, "asked AS (SELECT page_id AS qid, url AS q, 3 AS k FROM pages)", ranked("urls", "asked")
         )

@@ -83,6 +83,18 @@ def event_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of positions for every order, most narrow, some wide, some empty; k varies, and is missing for some."""
+    start = (F.col("o_custkey") * 7 + F.col("o_orderkey")) % 60_000
+    width = F.when(F.col("o_orderkey") % 97 == 0, 50_000).otherwise(F.col("o_orderkey") % 400 - 20)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("rid"),
+        start.alias("lb"),
+        (start + width).alias("rb"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey") % 9 + 1).cast("int").alias("k"),
+    )
+
+
 def entry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a dictionary file, good and broken, made from every line item."""
     number = F.col("l_orderkey").cast("string")
@@ -221,6 +233,18 @@ def lookup_queries() -> dict[str, Query]:
         best = fs.complete_batch(fs.load_dictionary(spark, path), fs.queries_from(spark, PREFIXES))
         return best.withColumn("weight", F.col("weight").cast("string"))
 
+    def word_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fs.block_maxima(fs.with_position(words(spark, sf_dir)), fan=16)
+
+    def stored_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "blocks")
+        fs.save_block_maxima(word_blocks(spark, sf_dir), path)
+        return fs.heaviest_in_ranges(fs.load_block_maxima(spark, path), order_ranges(spark, sf_dir), ties="scan")
+
+    def argmaxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+        asked = order_ranges(spark, sf_dir).select("rid", F.col("lb").alias("first"), F.col("rb").alias("last"))
+        return fs.range_argmaxes(word_blocks(spark, sf_dir), asked)
+
     def one_range(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fs.prefix_range(words(spark, sf_dir), "th")
 
@@ -242,6 +266,9 @@ def lookup_queries() -> dict[str, Query]:
         "match_entries": lambda s, d: fs.match_entries(words(s, d), fs.queries_from(s, PREFIXES)),
         "range_filter": lambda s, d: fs.range_filter(positioned_parts(s, d), 10, 40),
         "range_argmax": lambda s, d: fs.range_argmax(positioned_parts(s, d), 10, 39),
+        "heaviest_in_ranges": lambda s, d: fs.heaviest_in_ranges(word_blocks(s, d), order_ranges(s, d)),
+        "heaviest_in_ranges_scan": stored_ranges,
+        "range_argmaxes": argmaxes,
         "heaviest_in_range": lambda s, d: fs.heaviest_in_range(positioned_parts(s, d), 5, 60, 12),
         "heaviest_in_range_scan": lambda s, d: fs.heaviest_in_range(
             positioned_parts(s, d), 5, 60, 12, ties="scan"
@@ -337,6 +364,13 @@ def completion_queries() -> dict[str, Query]:
         asked = table(spark, sf_dir, "pages").select(F.col("page_id").alias("qid"), F.col("url").alias("q"), F.lit(3).alias("k"))
         return fs.complete_batch(urls(spark, sf_dir), asked)
 
+    def whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Every message as a prefix, and in every third place half of it."""
+        talks = table(spark, sf_dir, "conversations")
+        reach = F.when(F.col("turn") % 3 == 0, F.floor(F.length("text") / 2).cast("int")).otherwise(F.length("text"))
+        asked = talks.select((F.col("conv_id") * 1000 + F.col("turn")).alias("qid"), F.left("text", reach).alias("q"), F.lit(3).alias("k"))
+        return fs.complete_batch(fs.dictionary_from(talks, "text"), asked)
+
     def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "stream")
         writer = fs.complete_stream_batch(event_stream(spark, sf_dir), words(spark, sf_dir), f"{path}/answers")
@@ -383,6 +417,7 @@ def completion_queries() -> dict[str, Query]:
         "complete_batch_null_q": null_prefixes,
         "complete_batch_large_k": large_k,
         "complete_batch_long": whole_urls,
+        "complete_batch_whole_texts": whole_texts,
     }
 
 
