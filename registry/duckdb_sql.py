@@ -258,19 +258,19 @@ count(*) FILTER (WHERE text < 'th' OR starts_with(text, 'th')) AS rb FROM words"
         "heaviest_in_ranges": with_(WORDS, positions("words"), ORDER_RANGES)
         + """SELECT rid, rank, pos, text, weight FROM (
   SELECT rid, k, pos, text, weight, CAST(row_number() OVER (PARTITION BY rid ORDER BY weight DESC, pos DESC) AS INTEGER) AS rank
-  FROM ranges JOIN positioned ON pos >= lb AND pos < rb) WHERE rank <= k""",
+  FROM (SELECT rid, k, unnest(range(lb, rb)) AS pos FROM ranges) JOIN positioned USING (pos)) WHERE rank <= k""",
         "heaviest_in_ranges_scan": with_(
             WORDS,
             positions("words"),
             ORDER_RANGES,
-            "inside AS (SELECT rid, k, positioned.* FROM ranges JOIN positioned ON pos >= lb AND pos < rb)",
+            "inside AS (SELECT * FROM (SELECT rid, k, unnest(range(lb, rb)) AS pos FROM ranges) JOIN positioned USING (pos))",
             scan("inside", "k", "rid, k"),
         )
         + "SELECT rid, rank, pos, text, weight FROM kept WHERE rank <= k",
         "range_argmaxes": with_(WORDS, positions("words"), ORDER_RANGES)
         + """SELECT rid, pos, text, weight FROM (
   SELECT rid, pos, text, weight, row_number() OVER (PARTITION BY rid ORDER BY weight DESC, pos DESC) AS place
-  FROM ranges JOIN positioned ON pos BETWEEN lb AND rb) WHERE place = 1""",
+  FROM (SELECT rid, unnest(range(lb, rb + 1)) AS pos FROM ranges) JOIN positioned USING (pos)) WHERE place = 1""",
         "heaviest_in_range": with_(PARTS, positions("parts"))
         + f"""SELECT CAST(row_number() OVER (ORDER BY weight DESC, pos DESC) AS INTEGER) AS rank, pos, text, weight
 FROM positioned WHERE pos >= 5 AND pos < 60 {pick} 12""",
@@ -364,6 +364,9 @@ FROM asked JOIN ranked ON q = prefix WHERE rank <= k""",
         + batch("words", "event_prefixes", False),
         "complete_stream_long": with_(WORDS, TYPED_WORDS, ranked_by_length("words", "typed_words", 12))
         + "SELECT qid, rank, text, weight FROM typed_words LEFT JOIN ranked ON q = prefix AND rank <= k",
+        "complete_stream_stored": with_(WORDS, TYPED_WORDS, ranked_by_length("words", "typed_words", 12))
+        + """SELECT qid, rank, text, weight FROM typed_words
+LEFT JOIN ranked ON q = prefix AND rank <= CASE WHEN qid % 3 <> 0 THEN k ELSE 10 END""",
         "complete_batch_null_q": with_(
             WORDS,
             TYPED,

@@ -234,7 +234,7 @@ def lookup_queries() -> dict[str, Query]:
         return best.withColumn("weight", F.col("weight").cast("string"))
 
     def word_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fs.block_maxima(fs.with_position(words(spark, sf_dir)), fan=16)
+        return fs.block_maxima(fs.with_position(words(spark, sf_dir)), fan=64)
 
     def stored_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "blocks")
@@ -353,6 +353,18 @@ def completion_queries() -> dict[str, Query]:
         writer.start().awaitTermination()
         return spark.read.parquet(f"{path}/answers").drop("batch_id")
 
+    def stored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Words being typed, a third of them without k, answered from a stored table alone."""
+        path = scratch_path(spark, "stream")
+        fs.save_completion_table(fs.build_completion_table(words(spark, sf_dir), 12, 10), f"{path}/table")
+        schema = table(spark, sf_dir, "conversations").schema
+        talks = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+        asked = typed_words(talks).withColumn("k", F.when(F.col("qid") % 3 != 0, F.col("k")))
+        stored = fs.load_completion_table(spark, f"{path}/table")
+        writer = fs.complete_stream_batch(asked, None, f"{path}/answers", table=stored, keep_unmatched=True)
+        writer.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{path}/answers").drop("batch_id")
+
     def null_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         asked = typed(spark, sf_dir).withColumn("q", F.when(F.col("qid") % 3 != 0, F.col("q")))
         return fs.complete_batch(words(spark, sf_dir), asked)
@@ -414,6 +426,7 @@ def completion_queries() -> dict[str, Query]:
         "complete_stream_batch": stream_batches,
         "complete_stream_ci": stream_lookup_ci,
         "complete_stream_long": stream_of_any_length,
+        "complete_stream_stored": stored_stream,
         "complete_batch_null_q": null_prefixes,
         "complete_batch_large_k": large_k,
         "complete_batch_long": whole_urls,

@@ -6,6 +6,7 @@ import pytest
 from brute import best
 from cities import CITIES
 from pyspark.sql import functions as F
+from test_plans import plan_of
 
 import forespell as fs
 
@@ -96,3 +97,49 @@ def test_a_repeated_micro_batch_is_stored_once(spark, entries, lines, tmp_path):
         run(fs.complete_stream_batch(asked, entries(CITIES), out), tmp_path / f"state{attempt}")
         counts.append(spark.read.parquet(out).count())
     assert counts[0] == counts[1] > 0
+
+
+@pytest.fixture
+def stored_table(spark, entries, tmp_path):
+    path = str(tmp_path / "table")
+    fs.save_completion_table(fs.build_completion_table(entries(CITIES), 4, 5), path)
+    return fs.load_completion_table(spark, path)
+
+
+def test_a_micro_batch_reads_its_part_of_the_stored_table(spark, stored_table):
+    asked = spark.createDataFrame([(1, "Ca", 2), (2, "San", 3), (3, "Ca", 1), (4, "zz", 2)], "qid LONG, q STRING, k INT")
+    found = fs.complete_from_table(asked, stored_table, keep_unmatched=True)
+    plan = plan_of(found)
+    scan = next(line for line in plan.splitlines() if "PartitionFilters: [" in line and "prefix_length" in line)
+    assert "prefix_length#" in scan.split("PartitionFilters: [")[1].split("]")[0] and "IN (2,3)" in scan
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(prefix,Ca)" in pushed  # the plan's text is cut, the condition below is not
+    assert "IN (Ca,San,zz)" in plan and "BroadcastHashJoin [prefix" in plan
+    got = sorted(((r.qid, r["rank"] or 0, r.text) for r in found.collect()), key=repr)
+    want = [(i, n, t) for i, q, k in ((1, "Ca", 2), (2, "San", 3), (3, "Ca", 1)) for n, (t, _) in enumerate(best(CITIES, q, k), 1)]
+    assert got == sorted([*want, (4, 0, None)], key=repr)
+
+
+def test_a_prefix_in_most_rows_is_spread(spark, stored_table):
+    asked = spark.range(3_000).select(F.col("id").alias("qid"), F.when(F.col("id") % 10 == 0, "San").otherwise("C").alias("q"), F.lit(2).alias("k"))
+    found = fs.complete_from_table(asked, stored_table, hot_copies=100)
+    assert "_salt" in plan_of(found)
+    rows = found.groupBy("text").count().collect()
+    want = {t: 2_700 for t, _ in best(CITIES, "C", 2)} | {t: 300 for t, _ in best(CITIES, "San", 2)}
+    assert {r.text: r["count"] for r in rows} == want
+
+
+def test_a_stream_from_the_table_alone_loses_no_query(spark, entries, tmp_path, stored_table):
+    folder = tmp_path / "asked"
+    spark.createDataFrame([(1, "C", None), (2, None, 2), (3, "zzz", None)], "qid LONG, q STRING, k INT").write.parquet(str(folder))
+    stream = spark.readStream.schema("qid LONG, q STRING, k INT").parquet(str(folder))
+    out = str(tmp_path / "out")
+    table = fs.build_completion_table(entries(CITIES), 3, 10)
+    run(fs.complete_stream_batch(stream, None, out, table=table, keep_unmatched=True), tmp_path / "state")
+    got = {(r.qid, r["rank"], r.text) for r in spark.read.parquet(out).collect()}
+    want = {(i, n, t) for i, q, k in ((1, "C", 10), (2, "", 2)) for n, (t, _) in enumerate(best(CITIES, q, k), 1)}
+    assert got == want | {(3, None, None)}
+    with pytest.raises(Exception, match="a query asks for more"):
+        run(fs.complete_stream_batch(stream, None, str(tmp_path / "o2"), table=stored_table), tmp_path / "state2")
+    with pytest.raises(ValueError):
+        fs.complete_stream_batch(stream, None, out)
