@@ -1,9 +1,10 @@
 """Nearest neighbours by collision-counting hashing with query-centred windows.
 
 Each of ``PROJECTIONS`` random lines has one array of all projected vectors, sorted. A
-query opens a window around its own projection on every line; a vector inside collides
-there. Virtual rehashing widens all windows together, radius by radius, and only the newly
-covered ends are counted. A vector at distance r or less collides on a line with
+query opens a window around its own projection on every line: the two places in the sorted
+array where it ends. A vector whose place lies between them collides there. Virtual
+rehashing widens all windows together, radius by radius; the radii before the one where
+the query before it stopped are passed over. A vector at distance r or less collides on a line with
 probability of ``P(|N(0,1)| <= 1)`` at least when the radius is r, so vectors whose number
 of collisions reaches the threshold (that mean less ``SLACK`` standard deviations) are
 verified by their exact inner product. A query is done when its k-th best verified vector
@@ -37,12 +38,14 @@ from pyspark.sql import functions as F
 from forespell.llm.components import written
 
 PROJECTIONS = 32
-SLACK = 1.5
+SLACK = 3.0
 #: P(|N(0,1)| <= 1)
 WITHIN = math.erf(1 / math.sqrt(2))
 RADII = [0.04 * 1.2**k for k in range(24)]
 BLOCK = 16_384
 GROUP = 8_192
+#: Above the error of an inner product of unit vectors in single precision, up to some ten thousand dimensions.
+ROUGH = 1e-3
 
 
 def threshold() -> int:
@@ -65,55 +68,76 @@ class Index:
         projected = np.hstack([unit, rest[:, None]]) @ lines
         self.lines = lines[:-1]
         self.largest = largest
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
-        self.sorted = np.sort(projected, axis=0).T.copy()
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
+        #: Place of each vector in the sorted array of each line; a block has less than 2**16 vectors.
+        self.place = np.empty((PROJECTIONS, len(vectors)), np.uint16)
+        np.put_along_axis(self.place, order.T, np.arange(len(vectors), dtype=np.uint16)[None, :], axis=1)
+        self.start = 0
+        self.rough = unit.astype(np.float32)
+
+    def best_of(self, rows: np.ndarray, query: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``rows`` that may be among the ``k`` best and not below ``least``, and their exact inner products.
+
+        Single precision sifts, with a margin far above its rounding; what is left is exact.
+        """
+        norm = float(np.sqrt((query**2).sum()))
+        rough = np.take(self.rough, rows, axis=0) @ (query / norm).astype(np.float32)
+        floor = least / (self.largest * norm)
+        if len(rows) > k:
+            floor = max(floor, float(np.partition(rough, len(rows) - k)[len(rows) - k]))
+        rows = rows[rough >= floor - ROUGH]
+        return rows, inner_products(self.vectors, rows, query)
+
+    def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """In how many windows of places ``low`` to ``high``, one for each line, each vector lies."""
+        # below the window the unsigned difference wraps round to a large number
+        return ((self.place - low[:, None]) < (high - low)[:, None]).sum(axis=0, dtype=np.uint8)
 
     def search(self, queries: np.ndarray, allowed, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the ``k`` best verified (positions, inner products)."""
+        """For each query the ``k`` best verified (positions, inner products).
+
+        Collisions only grow with the radius, so a query may start with the radius before the
+        one where the query before it stopped: at worst it verifies more than it had to.
+        """
         n, need = len(self.vectors), threshold()
         norms = np.sqrt((queries**2).sum(axis=1))
         centre = (queries / norms[:, None]) @ self.lines
-        spans = np.empty((len(RADII), 2, len(queries), PROJECTIONS), np.int32)
-        for level, radius in enumerate(RADII):
-            for j in range(PROJECTIONS):
-                spans[level, 0, :, j] = np.searchsorted(self.sorted[j], centre[:, j] - radius, "left")
-                spans[level, 1, :, j] = np.searchsorted(self.sorted[j], centre[:, j] + radius, "right")
+        windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def window(level: int) -> tuple[np.ndarray, np.ndarray]:
+            if level not in windows:
+                reach = RADII[level]
+                ends = [(np.searchsorted(s, c - reach, "left"), np.searchsorted(s, c + reach, "right")) for s, c in zip(self.sorted, centre.T, strict=True)]
+                windows[level] = tuple(np.stack(side, axis=1).astype(np.uint16) for side in zip(*ends, strict=True))
+            return windows[level]
+
         out = []
         for q in range(len(queries)):
             barred = allowed(q)
             want = min(k, n - len(barred))
-            counts = np.zeros(n, np.int64)
             done = np.zeros(n, bool)
             done[barred] = True
             ids, scores = np.zeros(0, np.int64), np.zeros(0)
-            low = high = None
-            for level, radius in enumerate(RADII):
-                lo, hi = spans[level, 0, q], spans[level, 1, q]
+            for level in range(self.start, len(RADII)):
+                low, high = (side[q] for side in window(level))
                 last = level == len(RADII) - 1
                 # Too few collisions on all lines together for k vectors to reach the threshold.
-                if not last and (hi - lo).sum() < need * want:
+                if not last and int(high.sum(dtype=np.int64)) - int(low.sum(dtype=np.int64)) < need * want:
                     continue
-                if low is None:
-                    parts = [o[a:b] for o, a, b in zip(self.order, lo, hi, strict=True)]
-                else:
-                    parts = [o[a:b] for o, a, b in zip(self.order, lo, low, strict=True)]
-                    parts += [o[a:b] for o, a, b in zip(self.order, high, hi, strict=True)]
-                low, high = lo, hi
-                counts += np.bincount(np.concatenate(parts), minlength=n)
-                new = np.flatnonzero((counts >= (0 if last else need)) & ~done)
+                enough = np.ones(n, bool) if last else self.collisions(low, high) >= need
+                new = np.flatnonzero(enough & ~done)
                 if len(new):
                     done[new] = True
-                    ids = np.concatenate([ids, new])
-                    scores = np.concatenate([scores, inner_products(self.vectors, new, queries[q])])
-                    if len(ids) > 8 * k:
-                        best = np.argpartition(-scores, k)[: k + 1]
-                        keep = np.flatnonzero(scores >= scores[best].min())
-                        ids, scores = ids[keep], scores[keep]
+                    least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -np.inf
+                    new, exact = self.best_of(new, queries[q], k, least)
+                    ids, scores = np.concatenate([ids, new]), np.concatenate([scores, exact])
                 if len(ids) >= want:
                     kth = np.partition(scores, len(scores) - want)[len(scores) - want] if want else np.inf
                     # Squared distance of unit vectors: 2 - 2 cos.
-                    if 2 - 2 * kth / (self.largest * norms[q]) <= radius**2:
+                    if 2 - 2 * kth / (self.largest * norms[q]) <= RADII[level] ** 2:
                         break
+            self.start = max(0, level - 1)
             out.append((ids, scores))
         return out
 
@@ -150,6 +174,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
             kind = names.groupby(names, sort=False).cumcount().to_numpy()
             ids, matrix = ids[kind <= k], matrix[kind <= k]
             index = Index(matrix, largest)
+            asks = asks.sort_values("id", kind="stable")
             ask_ids, ask = asks["id"].to_numpy(), np.stack(asks["vector"].to_numpy())
             for low in range(0, len(ask), 256):
                 part = ask_ids[low : low + 256]

@@ -56,3 +56,19 @@ def test_ties_and_odd_rows(spark):
     assert got[100] == [(k, 0.0) for k in range(20)]
     assert result(neighbours.nearest(df.filter("vec_id > 90"), F.col("id") % 20 == 0)) == {}
     assert neighbours.nearest(df.filter("false"), F.col("id") % 20 == 0).count() == 0
+
+
+def test_recall_of_a_full_block():
+    """Clustered vectors of unequal norms, as many as a block holds and more."""
+    draw = np.random.default_rng(7)
+    for n, clusters, spread in ((neighbours.BLOCK, 50, 0.5), (neighbours.BLOCK, 1000, 0.3), (20_000, 10, 1.5)):
+        vectors = (draw.normal(size=(clusters, 64))[draw.integers(0, clusters, n)] + spread * draw.normal(size=(n, 64))) * draw.uniform(0.5, 1.5, size=(n, 1))
+        index = neighbours.Index(vectors, float(np.sqrt((vectors**2).sum(axis=1)).max()))
+        found = index.search(vectors[:40], lambda q: np.array([q]), 20)
+        hits = 0
+        for q, (at, scores) in enumerate(found):
+            exact = vectors @ vectors[q]
+            exact[q] = -np.inf
+            assert np.allclose(scores, exact[at])
+            hits += len(set(at[np.argsort(-scores)[:20]].tolist()) & set(np.argsort(-exact)[:20].tolist()))
+        assert hits / (20 * 40) >= 0.98
