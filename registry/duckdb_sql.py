@@ -389,5 +389,17 @@ LEFT JOIN ranked ON q = prefix AND rank <= CASE WHEN qid % 3 <> 0 THEN k ELSE 10
     }
 
 
+#: Queries on a stored form, and those that ask the same of the tables themselves.
+STORED = {
+    "stored_positions": "with_position",
+    "stored_positions_ci": "with_position_ci",
+    "stored_prefix_range": "prefix_range",
+    "stored_match_count": "match_count",
+    "stored_common_extension": "common_extension",
+    "stored_word_starts": "word_start_matches",
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {**dictionary_sql(), **lookup_sql(), **completion_sql()}
+    found = {**dictionary_sql(), **lookup_sql(), **completion_sql()}
+    return found | {name: found[same] for name, same in STORED.items()}

@@ -233,6 +233,21 @@ def lookup_queries() -> dict[str, Query]:
         best = fs.complete_batch(fs.load_dictionary(spark, path), fs.queries_from(spark, PREFIXES))
         return best.withColumn("weight", F.col("weight").cast("string"))
 
+    def kept_positions(spark: SparkSession, sf_dir: str, case_sensitive: bool = True):
+        path = scratch_path(spark, "positioned")
+        fs.save_positioned(words(spark, sf_dir), path, case_sensitive, files=20)
+        return fs.load_positioned(spark, path)
+
+    def kept_url_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "positioned")
+        fs.save_positioned(urls(spark, sf_dir), path, files=10)
+        return fs.stored_common_extension(fs.load_positioned(spark, path), "https://w")
+
+    def kept_word_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "word-starts")
+        fs.save_word_starts(conversations(spark, sf_dir), path, reach=4)
+        return fs.stored_word_start_matches(fs.load_word_starts(spark, path), fs.queries_from(spark, WORD_STARTS))
+
     def word_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fs.block_maxima(fs.with_position(words(spark, sf_dir)), fan=64)
 
@@ -266,6 +281,12 @@ def lookup_queries() -> dict[str, Query]:
         "match_entries": lambda s, d: fs.match_entries(words(s, d), fs.queries_from(s, PREFIXES)),
         "range_filter": lambda s, d: fs.range_filter(positioned_parts(s, d), 10, 40),
         "range_argmax": lambda s, d: fs.range_argmax(positioned_parts(s, d), 10, 39),
+        "stored_positions": lambda s, d: kept_positions(s, d).entries(),
+        "stored_positions_ci": lambda s, d: kept_positions(s, d, False).entries(),
+        "stored_prefix_range": lambda s, d: fs.stored_prefix_range(kept_positions(s, d), "th"),
+        "stored_match_count": lambda s, d: fs.stored_match_count(kept_positions(s, d), "th"),
+        "stored_common_extension": kept_url_extension,
+        "stored_word_starts": kept_word_starts,
         "heaviest_in_ranges": lambda s, d: fs.heaviest_in_ranges(word_blocks(s, d), order_ranges(s, d)),
         "heaviest_in_ranges_scan": stored_ranges,
         "range_argmaxes": argmaxes,
