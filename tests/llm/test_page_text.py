@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -55,6 +56,26 @@ def test_odd_rows(spark, model):
 
 
 def test_learned_by_likelihood():
-    pages = [([page_text.Block(t, (f"<{a}>",), 0.0) for t, a in zip("abcd", tags, strict=True)], [int(a == "p") for a in tags]) for tags in (["nav", "p", "p", "div"], ["p", "p", "nav", "nav"])]
+    pages = [([page_text.Block(t, page_text.Path.of((f"<{a}>",)), 0.0) for t, a in zip("abcd", tags, strict=True)], [int(a == "p") for a in tags]) for tags in (["nav", "p", "p", "div"], ["p", "p", "nav", "nav"])]
     model = page_text.fit(pages)
     assert [model.labels(p) for p, _ in pages] == [y for _, y in pages]
+
+
+def test_deep_nesting_takes_its_own_length(model):
+    """100,000 elements inside each other, each with text and names of its own, and as many stray closing tags."""
+    depth = 100_000
+    html = "<article><p>The text of the page, a full sentence.</p></article>" + "".join(f'<div class="n{"abcdefghij"[k % 10]} {"klmnopqrst"[k % 7]}x">x ' for k in range(depth)) + "</em></section>" * depth
+    start = time.perf_counter()
+    page = page_text.blocks(html)
+    assert len(page) == depth + 1 and len(list(page[-1].around)) == 3 * depth
+    model.labels(page)
+    assert time.perf_counter() - start < 60
+    assert sum(len(b.around.fresh) for b in page) < 200
+
+
+def test_paths_name_what_is_above():
+    page = page_text.blocks('<div class="aa bb"><p>one</p><div id="bb cc"><p>two</p></div></div><p>three</p><div class="aa bb"><p>four</p></div>')
+    assert [b.text for b in page] == ["one", "two", "three", "four"]
+    assert [tuple(b.around) for b in page[:3]] == [("<div>", "aa", "bb", "<p>"), ("<div>", "aa", "bb", "<div>", "bb", "cc", "<p>"), ("<p>",)]
+    assert page[1].around.parent.fresh == ("cc",)
+    assert page[0].around is page[3].around and page[0].around is not page[1].around
