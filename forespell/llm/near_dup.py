@@ -148,7 +148,8 @@ def _few_flips(a: str, b: str, most: int):
 def _blocks(members: DataFrame, carried: list[str]) -> DataFrame:
     """The members of each bucket dealt into blocks: every odd one (``asks``) meets every one.
 
-    A task sees at most about BLOCK by BLOCK members of a bucket.
+    They come in an exchange on bucket, block and part, so the blocks of one bucket go to
+    different tasks, and none sees more than about BLOCK by BLOCK members of a bucket.
     """
     sizes = members.groupBy("bucket").agg(
         F.count("*").alias("rows"),
@@ -161,7 +162,7 @@ def _blocks(members: DataFrame, carried: list[str]) -> DataFrame:
     everywhere = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     rows = sized.select("bucket", block.alias("block"), everywhere("odd_blocks").alias("part"), *carried, F.lit(False).alias("asks"))
     asks = sized.filter("odd").select("bucket", everywhere("rows_blocks").alias("block"), odd_block.alias("part"), *carried, F.lit(True).alias("asks"))
-    return rows.union(asks)
+    return rows.union(asks).repartition("bucket", "block", "part")
 
 
 def _likely(members: DataFrame, most: int, percent: int) -> DataFrame:
