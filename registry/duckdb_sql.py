@@ -255,6 +255,8 @@ count(*) FILTER (WHERE text < 'th' OR starts_with(text, 'th')) AS rb FROM words"
         + "SELECT text, weight, pos FROM positioned WHERE pos >= 10 AND pos < 40",
         "range_argmax": with_(PARTS, positions("parts"))
         + f"SELECT text, weight, pos FROM positioned WHERE pos BETWEEN 10 AND 39 {pick} 1",
+        "stored_positions_ci": with_(WORDS, FOLDED)
+        + "SELECT text, weight, folded, row_number() OVER (ORDER BY folded, text, weight) - 1 AS pos FROM folded",
         "heaviest_in_ranges": with_(WORDS, positions("words"), ORDER_RANGES)
         + """SELECT rid, rank, pos, text, weight FROM (
   SELECT rid, k, pos, text, weight, CAST(row_number() OVER (PARTITION BY rid ORDER BY weight DESC, pos DESC) AS INTEGER) AS rank
@@ -392,7 +394,6 @@ LEFT JOIN ranked ON q = prefix AND rank <= CASE WHEN qid % 3 <> 0 THEN k ELSE 10
 #: Queries on a stored form, and those that ask the same of the tables themselves.
 STORED = {
     "stored_positions": "with_position",
-    "stored_positions_ci": "with_position_ci",
     "stored_prefix_range": "prefix_range",
     "stored_match_count": "match_count",
     "stored_common_extension": "common_extension",

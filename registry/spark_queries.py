@@ -282,7 +282,7 @@ def lookup_queries() -> dict[str, Query]:
         "range_filter": lambda s, d: fs.range_filter(positioned_parts(s, d), 10, 40),
         "range_argmax": lambda s, d: fs.range_argmax(positioned_parts(s, d), 10, 39),
         "stored_positions": lambda s, d: kept_positions(s, d).entries(),
-        "stored_positions_ci": lambda s, d: kept_positions(s, d, False).entries(),
+        "stored_positions_ci": lambda s, d: kept_positions(s, d, False).entries().select("text", "weight", "folded", "pos"),
         "stored_prefix_range": lambda s, d: fs.stored_prefix_range(kept_positions(s, d), "th"),
         "stored_match_count": lambda s, d: fs.stored_match_count(kept_positions(s, d), "th"),
         "stored_common_extension": kept_url_extension,
