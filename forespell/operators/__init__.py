@@ -11,6 +11,7 @@ from forespell.operators.batch import (
     to_lines,
     word_start_matches,
 )
+from forespell.operators.edges import prefix_edges
 from forespell.operators.filters import (
     match_count,
     prefix_filter,
@@ -51,6 +52,7 @@ __all__ = [
     "match_entries",
     "next_char_facets",
     "next_char_facets_batch",
+    "prefix_edges",
     "prefix_filter",
     "prefix_range",
     "prefix_ranges",

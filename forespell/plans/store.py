@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forespell.functions import fold, match_key
 
@@ -57,21 +58,50 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def source_fingerprint(spark: SparkSession, sources: list[str]) -> str:
+    """A name for the present state of some files or folders: their paths, sizes and times.
+
+    Only the listing is read, not the files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sources)
+    seen = files.select(F.xxhash64("path", "modificationTime", "length").alias("h"), "length")
+    row = seen.agg(F.count("*").alias("n"), F.sum("length").alias("size"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return f"{row['n']} {row['size']} {row['x']} {row['s']}"
+
+
+def _kept_fingerprint(spark: SparkSession, path: str) -> str | None:
+    try:
+        return spark.read.text(f"{path.rstrip('/')}/_source").first()[0]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def load_or_build(
     spark: SparkSession,
     path: str,
     build: Callable[[], DataFrame],
     mode: str = "reuse",
     case_sensitive: bool = True,
+    sources: list[str] | None = None,
 ) -> DataFrame:
     """Open the stored dictionary, or build and store it first.
 
     ``mode='reuse'`` takes whatever was stored completely, without asking whether the data
-    behind it changed; ``mode='rebuild'`` always builds again.
+    behind it changed; ``mode='check'`` takes it if the files ``sources`` are those it was built
+    from, which is kept with it; ``mode='rebuild'`` always builds again.
     """
-    if mode not in ("reuse", "rebuild"):
-        raise ValueError(f"mode must be 'reuse' or 'rebuild', not {mode!r}")
-    if mode == "reuse" and is_complete(spark, path):
+    if mode not in ("reuse", "check", "rebuild"):
+        raise ValueError(f"mode must be 'reuse', 'check' or 'rebuild', not {mode!r}")
+    if mode == "check" and not sources:
+        raise ValueError("mode='check' needs the sources")
+    # before the build: a change during it is found the next time
+    present = source_fingerprint(spark, sources) if sources else None
+    stored = mode != "rebuild" and is_complete(spark, path)
+    if stored and (mode == "reuse" or _kept_fingerprint(spark, path) == present):
         return load_dictionary(spark, path, case_sensitive)
     save_dictionary(build(), path, case_sensitive)
+    if present:
+        spark.range(1).select(F.lit(present).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/_source")
     return load_dictionary(spark, path, case_sensitive)

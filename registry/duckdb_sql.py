@@ -203,6 +203,22 @@ max(weight) AS max_weight FROM words""",
     }
 
 
+def edges(key: str) -> str:
+    """Nodes from neighbours, parents and counts by all prefixes of the keys."""
+    return with_(WORDS) + f""", keyed AS (SELECT {key} AS key, weight FROM words),
+paired AS (SELECT key AS a, lead(key) OVER (ORDER BY key) AS b FROM keyed),
+forks AS (
+  SELECT DISTINCT left(a, list_max(list_filter(range(0, least(length(a), length(b)) + 1), lambda i: left(a, i) = left(b, i)))) AS fork
+  FROM paired WHERE b IS NOT NULL UNION SELECT ''),
+nodes AS (SELECT fork AS node FROM forks UNION SELECT key FROM keyed),
+cut AS (SELECT node, left(node, n) AS start, n FROM nodes, unnest(range(0, length(node))) u(n)),
+parents AS (SELECT node, arg_max(start, n) AS parent FROM cut JOIN forks ON start = fork GROUP BY node),
+inside AS (
+  SELECT node, count(*) AS matches, max(weight) AS max_weight, bool_or(key = node) AS ends
+  FROM (SELECT key, weight, left(key, n) AS start FROM keyed, unnest(range(0, length(key) + 1)) u(n)) JOIN nodes ON start = node GROUP BY node)
+SELECT parent, substr(node, length(parent) + 1) AS label, matches, max_weight, ends FROM parents JOIN inside USING (node)"""
+
+
 def lookup_sql() -> dict[str, str]:
     folded_words = with_(WORDS, FOLDED)
     common = """left(a, list_max(list_filter(range(0, least(length(a), length(b)) + 1),
@@ -235,6 +251,9 @@ FROM {queries} JOIN below ON {q} = below.prefix LEFT JOIN inside ON below.prefix
         "stored_dictionary": with_(WORDS) + "SELECT text, weight FROM words WHERE starts_with(text, 'th')",
         "stored_dictionary_ci": with_(WORDS, FOLDED, survivors)
         + one("survivors", "starts_with(folded, 'th')", 20, "folded"),
+        "load_or_build_check": "SELECT name AS text, count(*) AS weight FROM (SELECT p_name AS name FROM part UNION ALL SELECT c_name FROM customer) GROUP BY name",
+        "prefix_edges": edges("text"),
+        "prefix_edges_ci": edges(FOLD.format("text")),
         "load_or_build": with_(WORDS)
         + """SELECT count(*) AS entries, CAST(sum(strlen(text)) AS BIGINT) AS text_bytes,
 max(weight) AS max_weight FROM words""",

@@ -221,6 +221,15 @@ def lookup_queries() -> dict[str, Query]:
         again = fs.load_or_build(spark, path, lambda: part_names(spark, sf_dir))
         return fs.input_stats(again)
 
+    def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Stored from the names of parts, then, with one more file behind it, built anew."""
+        path, source = scratch_path(spark, "dictionary"), scratch_path(spark, "source")
+        names = lambda: fs.dictionary_from(spark.read.parquet(source), "name")
+        table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).write.parquet(source)
+        fs.load_or_build(spark, path, names, mode="check", sources=[source]).count()
+        table(spark, sf_dir, "customer").select(F.col("c_name").alias("name")).write.mode("append").parquet(source)
+        return fs.load_or_build(spark, path, names, mode="check", sources=[source])
+
     def plain_read_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "dictionary")
         fs.save_dictionary(words(spark, sf_dir), path)
@@ -267,6 +276,9 @@ def lookup_queries() -> dict[str, Query]:
         "stored_dictionary": stored,
         "stored_dictionary_ci": stored_ci,
         "load_or_build": reused,
+        "load_or_build_check": checked,
+        "prefix_edges": lambda s, d: fs.prefix_edges(words(s, d)),
+        "prefix_edges_ci": lambda s, d: fs.prefix_edges(words(s, d), case_sensitive=False),
         "stored_plain_read_ci": plain_read_ci,
         "stored_decimal_weights": decimal_weights,
         "prefix_filter": lambda s, d: fs.prefix_filter(words(s, d), "th"),
