@@ -66,6 +66,9 @@ def operators(spark: SparkSession, dictionary: DataFrame) -> dict:
     events = spark_queries.event_prefixes(spark, SF_DIR)
     heavy = fs.heavy_weight(dictionary)
     positioned = fs.with_position(dictionary)
+    blocks = fs.block_maxima(positioned)
+    ranges = spark_queries.order_ranges(spark, SF_DIR)
+    large = spark.createDataFrame([(0, "", 20_000), *[(i, q, 5) for i, q in enumerate(LOOKUPS, 1)]], "qid BIGINT, q STRING, k INT")
     return {
         "dedup": lambda: fs.dedup(dictionary),
         "dedup_ci": lambda: fs.dedup(dictionary, case_sensitive=False),
@@ -83,6 +86,9 @@ def operators(spark: SparkSession, dictionary: DataFrame) -> dict:
         "complete_batch_heavy_first": lambda: fs.complete_batch(dictionary, typed, heavy_from=heavy),
         "complete_batch_ten": lambda: fs.complete_batch(dictionary, fs.queries_from(spark, LOOKUPS)),
         "complete_batch_scan_ties": lambda: fs.complete_batch(positioned, typed, ties="scan"),
+        "complete_batch_large_k": lambda: fs.complete_batch(dictionary, large),
+        "heaviest_in_ranges": lambda: fs.heaviest_in_ranges(blocks, ranges),
+        "prefix_edges": lambda: fs.prefix_edges(dictionary),
         "match_entries": lambda: fs.match_entries(dictionary, typed),
         "common_extensions": lambda: fs.common_extensions(dictionary, typed),
         "word_start_matches": lambda: fs.word_start_matches(
