@@ -24,7 +24,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from functools import cache
-from itertools import product
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -252,9 +252,23 @@ def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def best_of_text(deltas: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` cheapest choices of one entry from each list of losses (each list starts with 0)."""
-    every = [(sum(d[k] for d, k in zip(deltas, pick, strict=True)), pick) for pick in product(*[range(len(d)) for d in deltas])]
-    return sorted(every)[:n]
+    """The ``n`` cheapest choices of one entry from each list of losses (each list starts with 0 and rises).
+
+    Ties go to the choice with the smaller places, the first list's first. Every choice but the
+    first has one parent, with one less at its last place above 0; the parent is never dearer and
+    comes earlier in ties, so a choice need not be in the heap before its parent has left it.
+    """
+    rising = [list(accumulate(d, max)) for d in deltas]
+    heap: list[tuple[float, tuple[int, ...], int]] = [(0.0, (0,) * len(rising), 0)]
+    out = []
+    while heap and len(out) < n:
+        lost, pick, last = heapq.heappop(heap)
+        out.append((lost, pick))
+        for at in range(last, len(rising)):
+            if pick[at] + 1 < len(rising[at]):
+                child = (*pick[:at], pick[at] + 1, *pick[at + 1 :])
+                heapq.heappush(heap, (sum(d[k] for d, k in zip(rising, child, strict=True)), child, at))
+    return out
 
 
 def encode_slice(table: Pieces, data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, list[tuple[float, np.ndarray]], bool]]:
@@ -309,7 +323,8 @@ def encode_slice(table: Pieces, data: np.ndarray, offsets: np.ndarray, n: int) -
 
 
 def encode(documents: DataFrame, n: int = 1, path: str | None = None) -> DataFrame:
-    """doc_id, ids, nbest: the best segmentation and the ``n`` best with their scores."""
+    """doc_id, ids, nbest, decoded: the best segmentation, the ``n`` best with their scores, and
+    whether decoding the best gave back the text."""
     where = path or public_tokenizers.path(MODEL)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +332,9 @@ def encode(documents: DataFrame, n: int = 1, path: str | None = None) -> DataFra
             got = list(encode_slice(pieces(where), data, offsets, n))
             nbest = [[{"score": s, "ids": i} for s, i in best] for _, best, _ in got]
             kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
-            yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array([i for i, _, _ in got], pa.list_(pa.int32())), "nbest": pa.array(nbest, kind)})
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array([i for i, _, _ in got], pa.list_(pa.int32())), "nbest": pa.array(nbest, kind), "decoded": pa.array([ok for _, _, ok in got], pa.bool_())})
 
-    schema = "doc_id long, ids array<int>, nbest array<struct<score: double, ids: array<int>>>"
+    schema = "doc_id long, ids array<int>, nbest array<struct<score: double, ids: array<int>>>, decoded boolean"
     return documents.select("doc_id", "text").mapInArrow(rows, schema)
 
 

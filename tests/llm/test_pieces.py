@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate, product
+
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -47,6 +49,20 @@ def test_nbest_and_decoding(table, texts):
             assert bytes(table.decode(other))[1:].decode() == text
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=4), max_size=4), st.integers(1, 12))
+def test_cheapest_choices(steps, n):
+    lists = [[0.0, *map(float, accumulate(s))] for s in steps]
+    every = sorted((sum(d[k] for d, k in zip(lists, pick, strict=True)), pick) for pick in product(*[range(len(d)) for d in lists]))
+    assert pieces.best_of_text(lists, n) == every[:n]
+
+
+def test_many_best(table):
+    data, offsets = buffer(pa.array(["the river stone and the light of the house by the sea"]))
+    ((_, best, ok),) = pieces.encode_slice(table, data, offsets, 40)
+    assert ok and [s for s, _ in best] == pytest.approx(brute(table, data.tobytes().decode(), 40))
+
+
 def test_round_trip_of_all_documents(spark):
     docs = queries.table(spark, SF_DIR, "documents")
     back = pieces.decode(pieces.encode(docs, n=2)).withColumnRenamed("text", "back").join(docs, "doc_id")
