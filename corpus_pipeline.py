@@ -43,9 +43,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_pieces."""
+    """doc_id, ids, n_pieces, the scores of the three best segmentations, and whether the ids decode to the text."""
     ship(spark)
-    return pieces.encode(docs, n=1).select("doc_id", "ids", F.size("ids").alias("n_pieces"))
+    encoded = pieces.encode(docs, n=3)
+    return encoded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.col("nbest.score").alias("nbest_scores"), "decoded")
 
 
 STAGES = [
