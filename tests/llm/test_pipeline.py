@@ -35,8 +35,9 @@ def test_stages(spark):
     assert not [d for d, t in texts.items() if any(i in t for i in items)]
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
     assert {r["doc_id"] for r in out.collect()} == kept[-1]
+    assert out.filter("not decoded or size(nbest_scores) != 3 or n_pieces != size(ids)").isEmpty()
 
 
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
-    assert out.columns == ["doc_id", "ids", "n_pieces"] and out.count() > 0
+    assert out.columns == ["doc_id", "ids", "n_pieces", "nbest_scores", "decoded"] and out.count() > 0
