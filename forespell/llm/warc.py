@@ -95,12 +95,12 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
         headers[name.strip().lower()] = value.strip()
     if missing := {"warc-type", "warc-record-id", "warc-date", "content-length"} - headers.keys():
         raise Broken(f"no {min(missing)}")
-    if not headers.get("content-length", "").isascii() or not headers.get("content-length", "").isdigit():
+    if not re.fullmatch("[0-9]{1,15}", headers["content-length"]):
         raise Broken("no length")
     past = end + 4 + int(headers["content-length"])
     if data[past : past + 4] != b"\r\n\r\n":
         raise Broken("length does not fit")
-    block = data[end + 4 : past]
+    block = bytes(data[end + 4 : past])
     named = headers.get("warc-block-digest", "")
     if named.startswith("sha1:") and named[5:] != digest(block):
         raise Broken("block digest differs")
@@ -112,86 +112,186 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     return headers, block, past + 4
 
 
+class Damaged(Exception):
+    """Bytes of a gzip member that do not inflate."""
+
+
+class _Stored:
+    """A seekable file, read onwards from ``at``."""
+
+    def __init__(self, file: object) -> None:
+        self.file, self.at, self.size = file, 0, file.seek(0, 2)
+
+    def read(self, n: int) -> bytes:
+        if self.at >= self.size:
+            return b""
+        self.file.seek(self.at)
+        got = self.file.read(n)
+        self.at += len(got)
+        return got
+
+    def look(self, skip: int, n: int) -> bytes:
+        """The ``n`` bytes that follow the next ``skip``, which stay unread."""
+        if self.at + skip >= self.size:
+            return b""
+        self.file.seek(self.at + skip)
+        return self.file.read(n)
+
+
+class _Inflated:
+    """The contents of one gzip member, which begins with ``data`` and goes on in the file at ``at``."""
+
+    def __init__(self, file: _Stored, data: bytes, at: int) -> None:
+        self.file, self.data, self.at = file, data, at
+        self.unpack = zlib.decompressobj(31)
+
+    def read(self, n: int) -> bytes:
+        while not self.unpack.eof:
+            if not self.data:
+                self.file.file.seek(min(self.at, self.file.size))
+                self.data = self.file.file.read(WINDOW)
+                self.at += len(self.data)
+                if not self.data:
+                    raise Damaged("member ends early")
+            try:
+                got = self.unpack.decompress(self.data, n)
+            except zlib.error as error:
+                raise Damaged("gzip check") from error
+            self.data = self.unpack.unconsumed_tail
+            if got:
+                return got
+        return b""
+
+    def _ahead(self) -> _Inflated:
+        other = _Inflated(self.file, self.data, self.at)
+        other.unpack = self.unpack.copy()
+        return other
+
+    def look(self, skip: int, n: int) -> bytes:
+        """The ``n`` bytes that follow the next ``skip``, which stay unread."""
+        ahead, got = self._ahead(), b""
+        while skip:
+            passed = len(ahead.read(min(skip, WINDOW)))
+            if not passed:
+                return b""
+            skip -= passed
+        while len(got) < n and (more := ahead.read(n - len(got))):
+            got += more
+        return got
+
+    def whole(self) -> bool:
+        """Whether the rest of the member inflates and passes its checksum."""
+        ahead = self._ahead()
+        try:
+            while ahead.read(WINDOW):
+                pass
+        except Damaged:
+            return False
+        return True
+
+    def end(self) -> int:
+        """Where the member ends in the file, once all is read."""
+        return self.at - len(self.unpack.unused_data)
+
+
 @dataclass
 class Salvage:
-    """Iterates over the good records of a stream; ``gaps`` logs (start, end, reason)."""
+    """Iterates over the good records of a seekable stream; ``gaps`` logs (start, end, reason).
+
+    Records of one gzip member share its offset. A gap inside a member names the member's
+    bytes and says which bytes of its contents are meant. Of a damaged member those records
+    are kept that pass a block digest of their own and are followed by another record.
+    """
 
     stream: object
     gaps: list[tuple[int, int, str]] = field(default_factory=list)
+    in_member: bool = False
 
     def __post_init__(self) -> None:
-        self.data, self.base, self.over = b"", 0, False
+        self.source = self.stream if self.in_member else _Stored(self.stream)
+        self.data, self.base, self.over = bytearray(), 0, False
 
     def _more(self) -> bool:
-        got = b"" if self.over else self.stream.read(WINDOW)
+        got = b"" if self.over else self.source.read(WINDOW)
         self.over = not got
         self.data += got
         return bool(got)
 
     def _drop(self, n: int) -> None:
-        self.data, self.base = self.data[n:], self.base + n
-
-    def _member(self) -> tuple[bytes, int]:
-        """The inflated member at the start of the data, and its length."""
-        unpack = zlib.decompressobj(31)
-        out, done = [], 0
-        while True:
-            try:
-                out.append(unpack.decompress(self.data[done:]))
-            except zlib.error as error:
-                raise Broken("gzip check") from error
-            if unpack.eof:
-                return b"".join(out), len(self.data) - len(unpack.unused_data)
-            done = len(self.data)
-            if not self._more():
-                raise Broken("member ends early")
+        """Go on ``n`` bytes further, also beyond what has been read (of a file)."""
+        if n > len(self.data):
+            self.source.at = self.base + n
+        del self.data[:n]
+        self.base += n
 
     def _record(self) -> tuple[dict[str, str], bytes, int]:
-        if self.data.startswith(_GZIP):
-            raw, size = self._member()
-            headers, block, used = parse(raw)
-            if used != len(raw):
-                raise Broken("more than one record in a member")
-            return headers, block, size
         while True:
             try:
                 return parse(self.data)
             except Broken as error:
                 wants_more = str(error) in ("no end of headers", "length does not fit", "no version line")
-                if not (wants_more and self._wanted() and self._more()):
+                want = self._wanted() if wants_more else 0
+                if want <= 0 or not self._more():
                     raise
+                past = len(self.data) + want - WINDOW
+                while len(self.data) < past and self._more():
+                    pass
+
+    def _wanted(self) -> int:
+        """How many bytes are missing from a plain record that may be whole; 0 if it cannot be.
 
-    def _wanted(self) -> bool:
-        """Whether a plain record may simply not be read in full yet."""
+        A record is only read to its end if it ends where its length says.
+        """
         end = self.data.find(b"\r\n\r\n")
         if end < 0:
-            return len(self.data) < WINDOW
+            return WINDOW - len(self.data)
         length = re.search(rb"(?i)\r\ncontent-length:\s*(\d{1,15})\s*\r\n", self.data[: end + 2])
-        return bool(length) and len(self.data) < end + 8 + int(length[1])
+        want = end + 8 + int(length[1]) - len(self.data) if length else 0
+        return want if want <= 4 or self.source.look(want - 4, 4) == b"\r\n\r\n" else 0
 
-    def _next_start(self, low: int) -> int:
-        """The next place at or after ``low`` where a record may begin (the end if there is none)."""
-        at = low
+    def _find_start(self) -> None:
+        """Drop at least one byte, and all up to the next place where a record may begin (or the end)."""
+        self._drop(1)
         while True:
-            plain = _START.search(self.data, at)
-            spots = [p for p in (self.data.find(_GZIP, at), plain.start() if plain else -1) if p >= 0]
-            if not spots:
-                keep = max(low, len(self.data) - 16)
-                if not self._more():
-                    return len(self.data)
-                at = keep
-                continue
-            at = min(spots)
-            if self.data[at : at + 3] != _GZIP:
-                return at
-            while len(self.data) < at + 512 and self._more():
-                pass
-            try:
-                if _START.match(zlib.decompressobj(31).decompress(self.data[at : at + 512], 64)):
-                    return at
-            except zlib.error:
-                pass
-            at += 1
+            plain = _START.search(self.data)
+            stop, at = plain.start() if plain else len(self.data), 0
+            while not self.in_member and 0 <= (at := self.data.find(_GZIP, at, stop)):
+                if len(self.data) < at + 512 and not self.over:
+                    break
+                try:
+                    if _START.match(zlib.decompressobj(31).decompress(bytes(self.data[at : at + 512]), 64)):
+                        self._drop(at)
+                        return
+                except zlib.error:
+                    pass
+                at += 1
+            else:
+                at = -1
+            if at < 0 and plain:
+                self._drop(stop)
+                return
+            self._drop(at if at >= 0 else max(0, len(self.data) - 16))
+            if not self._more() and at < 0:
+                self._drop(len(self.data))
+                return
+
+    def _member(self) -> Iterator[tuple[dict[str, str], bytes]]:
+        """The records of the member at the start of the data; goes on behind it, or raises if it is damaged."""
+        member = _Inflated(self.source, bytes(self.data), self.base + len(self.data))
+        inside = Salvage(member, in_member=True)
+        held, whole = None, None
+        for _, headers, block in inside:
+            if held is not None:
+                whole = member.whole() if whole is None else whole
+                if whole or held[0].get("warc-block-digest", "").startswith("sha1:"):
+                    yield held
+            held = headers, block
+        if held is None:
+            raise Broken(inside.gaps[0][2] if inside.gaps else "empty member")
+        yield held
+        end = member.end()
+        self.gaps += [(self.base, end, f"{why}: bytes {a} to {b} of the member") for a, b, why in inside.gaps]
+        self._drop(end - self.base)
 
     def __iter__(self) -> Iterator[tuple[int, dict[str, str], bytes]]:
         gap, reason = None, ""
@@ -200,18 +300,27 @@ class Salvage:
                 self._more()
             if not self.data:
                 break
+            start = self.base
             try:
-                headers, block, size = self._record()
-            except Broken as error:
+                if not self.in_member and self.data.startswith(_GZIP):
+                    good = self._member()
+                    found = next(good)
+                else:
+                    headers, block, size = self._record()
+                    self._drop(size)
+                    good, found = iter(()), (headers, block)
+                if gap is not None:
+                    self.gaps.append((gap, start, reason))
+                    gap = None
+                yield start, *found
+                for headers, block in good:
+                    yield start, headers, block
+            except (Broken, Damaged) as error:
+                if self.in_member and isinstance(error, Damaged):
+                    raise
                 if gap is None:
                     gap, reason = self.base, str(error)
-                self._drop(self._next_start(1))
-                continue
-            if gap is not None:
-                self.gaps.append((gap, self.base, reason))
-                gap = None
-            yield self.base, headers, block
-            self._drop(size)
+                self._find_start()
         if gap is not None:
             self.gaps.append((gap, self.base, reason))
 
@@ -263,7 +372,7 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for file in batch.column("file").to_pylist():
                 files, name = open_fs(file)
-                with files.open_input_stream(name, compression=None) as stream:
+                with files.open_input_file(name) as stream:
                     reader, out, held = Salvage(stream), [], 0
                     for offset, headers, block in reader:
                         head, _, body = block.partition(b"\r\n\r\n")
