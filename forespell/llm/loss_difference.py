@@ -32,6 +32,7 @@ any length are read whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,8 @@ BEGIN = np.uint64(0x243F6A8885A308D3)
 END = np.uint64(0x13198A2E03707344)
 #: Tokens a task holds before it sends them on.
 HELD = 2_000_000
+#: Tokens a part has at most on average, so that the largest task does not grow with the corpus.
+PART_TOKENS = 4_000_000
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,11 +203,12 @@ def _part(data: bytes) -> tuple[int, int, list[np.ndarray]]:
 
 
 def _pack(word: np.ndarray, context: np.ndarray, doc: np.ndarray, own: np.ndarray, side: int) -> bytes:
-    """Rows sorted by word and context; documents (numbers that rise in a task) by distance from the first."""
+    """Rows sorted by word and context; contexts by place in a list, documents (numbers that rise in a task) by distance from the first."""
     order = np.lexsort((context, word))
     keys, n = np.unique(word, return_counts=True)
     low = int(doc.min())
-    arrays = [keys, n.astype(np.uint32), (context[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), _short((doc - np.uint64(low))[order])]
+    listed, place = np.unique(context[order], return_inverse=True)
+    arrays = [keys, _short(n), listed, _short(place), _short((doc - np.uint64(low))[order])]
     if own.any():
         arrays.append(_short(own[order]))
     return _join(side, low, arrays)
@@ -212,9 +216,9 @@ def _pack(word: np.ndarray, context: np.ndarray, doc: np.ndarray, own: np.ndarra
 
 def _unpack(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Side, words, contexts, documents and own counts (0 where the word is not heavy)."""
-    side, low, (keys, n, context, doc, *own) = _part(data)
-    counts = own[0] if own else np.zeros(len(context), np.uint16)
-    return side, np.repeat(keys, n), context, doc.astype(np.uint64) + np.uint64(low), counts.astype(np.uint32)
+    side, low, (keys, n, listed, place, doc, *own) = _part(data)
+    counts = own[0] if own else np.zeros(len(place), np.uint16)
+    return side, np.repeat(keys, n), listed[place], doc.astype(np.uint64) + np.uint64(low), counts.astype(np.uint32)
 
 
 SCHEMA = "part int, payload binary, name long, doc_id long, n_tokens long, value double"
@@ -348,11 +352,15 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byte
 
 
 def score(documents: DataFrame, target: DataFrame, parts: int | None = None) -> DataFrame:
-    """doc_id, n_tokens, score for every document; ``target`` has a column text."""
+    """doc_id, n_tokens, score for every document; ``target`` has a column text.
+
+    ``parts`` is the number of tasks that share the tokens: by default two for each shuffle
+    partition, and more if a part would have above ``PART_TOKENS``.
+    """
     spark = documents.sparkSession
-    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     aimed = target.select(F.lit(None).cast("long").alias("doc_id"), "text")
     heavy, sizes, texts = heavy_counts([aimed, documents])
+    parts = parts or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sizes.sum() / PART_TOKENS))
     if not sizes[0]:
         sizes = np.array([1.0, sizes[1]])
     shared = spark.sparkContext.broadcast((heavy, sizes, texts))

@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from forespell.llm import loss_difference as lm
@@ -52,6 +53,26 @@ def test_query_against_plain_counting(spark, monkeypatch, share):
     assert [g[2] for g in got] == pytest.approx([s for _, s in want], abs=1e-5)
 
 
+def test_blocks_keep_whole_hashes():
+    word = np.array([9, 9, 9, 1 << 63], np.uint64)
+    context = np.array([5, 5 + (1 << 32), 5, 5 + (1 << 63)], np.uint64)
+    doc = np.array([7, 7, 80_000, 7], np.uint64)
+    for own in (np.zeros(4, np.uint32), np.array([1, 70_000, 1, 2], np.uint32)):
+        side, *got = lm._unpack(lm._pack(word, context, doc, own, 1))
+        assert side == 1 and sorted(zip(*(g.tolist() for g in got), strict=True)) == sorted(zip(*(x.tolist() for x in (word, context, doc, own)), strict=True))
+
+
+def test_parts_follow_the_tokens(spark, documents, prose, monkeypatch):
+    rows = [(k, prose(k, 30)) for k in range(40)]
+    docs = documents(rows)
+    target = spark.createDataFrame([(prose(99, 50),)], "text string")
+    few = {r["doc_id"]: r["score"] for r in lm.score(docs, target).collect()}
+    monkeypatch.setattr(lm, "PART_TOKENS", 20)
+    plan = lm.score(docs, target)
+    assert plan.rdd.getNumPartitions() > 40
+    assert {r["doc_id"]: r["score"] for r in plan.collect()} == pytest.approx(few, abs=1e-5)
+
+
 def test_odd_rows(spark, documents, prose):
     rows = [(1, None), (2, ""), (None, "the river stone"), (3, "the river stone"), (3, "the river stone"), (4, "line " * 100_000), (5, prose(1, 50))]
     target = spark.createDataFrame([("the river stone light", 1), (None, 2), ("the river", 3)], "text string, doc_id long")
