@@ -29,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files.
+
+    A stream takes a folder, not a file; a pattern that fits the table alone stands for either.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.word_dictionary(table(spark, sf_dir, "documents"), "text")
 
@@ -338,8 +347,7 @@ def completion_queries() -> dict[str, Query]:
         return unpacked(fs.load_completion_table(spark, path).filter(F.col("prefix_length") == 2))
 
     def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-        schema = table(spark, sf_dir, "events").schema
-        events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        events = table_stream(spark, sf_dir, "events")
         reach = (F.col("event_id") % 4 + 1).cast("int")
         return events.select(
             F.col("event_id").alias("qid"), F.left("event_type", reach).alias("q"), F.lit(3).alias("k")
@@ -376,8 +384,7 @@ def completion_queries() -> dict[str, Query]:
     def stream_of_any_length(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Short prefixes from the table, the others from the dictionary; every query keeps a row."""
         path = scratch_path(spark, "stream")
-        schema = table(spark, sf_dir, "conversations").schema
-        talks = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+        talks = table_stream(spark, sf_dir, "conversations")
         built = fs.build_completion_table(words(spark, sf_dir), 4, 5)
         writer = fs.complete_stream_batch(
             typed_words(talks), words(spark, sf_dir), f"{path}/answers", table=built, keep_unmatched=True
@@ -390,8 +397,7 @@ def completion_queries() -> dict[str, Query]:
         """Words being typed, a third of them without k, answered from a stored table alone."""
         path = scratch_path(spark, "stream")
         fs.save_completion_table(fs.build_completion_table(words(spark, sf_dir), 12, 10), f"{path}/table")
-        schema = table(spark, sf_dir, "conversations").schema
-        talks = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+        talks = table_stream(spark, sf_dir, "conversations")
         asked = typed_words(talks).withColumn("k", F.when(F.col("qid") % 3 != 0, F.col("k")))
         stored = fs.load_completion_table(spark, f"{path}/table")
         writer = fs.complete_stream_batch(asked, None, f"{path}/answers", table=stored, keep_unmatched=True)

@@ -51,3 +51,11 @@ def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns == ["qid", "rank", "text", "weight"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["complete_stream", "complete_stream_long", "complete_stream_stored"])
+def test_streams_of_tables_in_folders(spark, tmp_path, name):
+    """A table may be a folder of files."""
+    for table in ("documents", "conversations", "events"):
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").limit(300).repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    assert compare(spark, connect(str(tmp_path)), name, str(tmp_path)) is None
