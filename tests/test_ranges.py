@@ -104,3 +104,41 @@ def test_empty_tables(spark, entries):
     assert fs.heaviest_in_ranges(maxima, frame(spark, [(1, 0, 4, 2)])).count() == 0
     some = fs.block_maxima(fs.with_position(entries([("a", 1)])), 4)
     assert fs.heaviest_in_ranges(some, frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("ties", ["last", "scan"])
+def test_chunks_and_the_tree_above_them(spark, entries, monkeypatch, ties):
+    """Ranges over many chunks, in families of a tree with several levels; hot chunks are spread."""
+    monkeypatch.setattr(blocks, "CHUNK", 4)
+    monkeypatch.setattr(blocks, "HOT_COPIES", 5)
+    pairs = random_pairs(21, 300, "abcd", 6, 4)
+    ranges = made_ranges(8, len(pairs), 150)
+    ranges += [(1_000 + i, lb, lb + width, 3) for i, (lb, width) in enumerate((lb, w) for lb in range(0, len(pairs), 7) for w in (3, 4, 5, 9, 31, 64, 130, 10**12))]
+    ranges += [(5_000, 0, len(pairs), 600), (5_001, 2, 5, 2**31 - 1)]
+    maxima = fs.block_maxima(fs.with_position(entries(pairs)), 2)
+    found = got(fs.heaviest_in_ranges(maxima, frame(spark, ranges), ties))
+    assert found == expected(pairs, ranges, last_wins if ties == "last" else scan_wins)
+
+
+@pytest.mark.parametrize("chunk", [4, 512])
+def test_positions_with_gaps(spark, monkeypatch, chunk):
+    monkeypatch.setattr(blocks, "CHUNK", chunk)
+    rows = [(f"t{p:03}", p * 7 % 11, p) for p in range(5, 90) if p % 3 and not 40 < p < 60]
+    positioned = spark.createDataFrame([*rows, ("none", 50, None)], "text STRING, weight BIGINT, pos BIGINT")
+    ranges = [(i, lb, lb + width, 2) for i, (lb, width) in enumerate((lb, w) for lb in range(0, 95, 5) for w in (1, 4, 18, 70))]
+    want = {}
+    for rid, lb, rb, k in ranges:
+        inside = [(p, t, w) for t, w, p in rows if lb <= p < rb]
+        if inside:
+            want[rid] = last_wins(inside, k)
+    assert got(fs.heaviest_in_ranges(fs.block_maxima(positioned, 4), frame(spark, ranges))) == want
+
+
+@pytest.mark.parametrize("ties", ["last", "scan"])
+def test_what_is_asked_moves_as_one_row(spark, entries, ties):
+    """A narrow range meets its window in one row and is cut out of it before anything is copied or exploded."""
+    maxima = fs.block_maxima(fs.with_position(entries(random_pairs(3, 100))), 64)
+    plan = plan_of(fs.heaviest_in_ranges(maxima, frame(spark, [(i, i, i + 30, 2) for i in range(50)]), ties))
+    assert "Window" not in plan
+    joined = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joined) == 1
