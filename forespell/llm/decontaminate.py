@@ -5,11 +5,11 @@
    ``STOP_SHARE`` of the passages carry no weight, except that every item keeps at least
    its ``KEEP_TERMS`` rarest.
 2. A latent space comes from a randomised SVD of the TF-IDF matrix whose rows are the
-   pieces of items (``PIECE`` words at most, repeated to weigh as much as the sample) and a
-   bounded sample of corpus passages (``FIT_PASSAGES``, those of smallest hash). Spark
-   multiplies the rows with a thin random matrix, twice more with its own result (power
-   iteration), and the driver only sees terms x rank matrices, whose size follows the block
-   of items and not the corpus.
+   pieces of items (``PIECE`` words at most, repeated to weigh as much as the corpus) and
+   all corpus passages. One job adds up the products of the rows' terms, pair by pair, in
+   whole numbers; the sums are a matrix of terms by terms. Spark multiplies it with a thin
+   random matrix, twice more with its own result (power iteration), and the driver only
+   sees terms x rank matrices, whose size follows the block of items and not the corpus.
 3. Every window of 2 * STRIDE words of every document is projected into the space, and
    (window, item) pairs with cosine of ``COSINE`` or more are candidates. The cosine is
    taken with the window's norm before projection: what lies outside the space counts.
@@ -39,13 +39,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from forespell.llm.components import written
 from forespell.llm.ship import give_back
-from forespell.llm.words import buffer, mix, slices, words
+from forespell.llm.words import buffer, slices, words
 
 PASSAGE = 32
 STRIDE = 8
 PIECE = 48
 ITEM_BLOCK = 800
-FIT_PASSAGES = 20_000
 RANK = 1_024
 SPARE = 32
 STOP_SHARE = 0.02
@@ -54,6 +53,11 @@ KEY_TERMS = 3
 COSINE = 0.4
 EXACT = 0.8
 PARAPHRASE = 0.6
+#: Parts of one in which products of weights are added up.
+UNIT = 1 << 30
+#: Pairs of terms that a task holds, and lines of their matrix that it multiplies at once.
+PAIRS = 2_000_000
+STRIP = 256
 
 
 @dataclass
@@ -98,9 +102,13 @@ def read_items(benchmark: DataFrame) -> Items:
 
 
 def passage_counts(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int, DataFrame]:
-    """Passages holding each term, all passages, and a sample of passages as term lists."""
+    """Passages holding each term, all passages, and the terms of every passage.
+
+    A row of the last has the passages of a slice of documents: ``terms`` of one after another, ``sizes``.
+    """
     size = len(vocabulary.terms)
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    ints = pa.list_(pa.int32())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
@@ -116,23 +124,18 @@ def passage_counts(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.nda
             passage = (np.cumsum(runs) - runs)[doc] + (at - found.first[doc]) // PASSAGE
             once = np.unique(passage * size + term)
             total[:-1] += np.bincount(once % size, minlength=size)
-            passage, start, n = np.unique(once // size, return_index=True, return_counts=True)
-            name = mix(np.add.reduceat(mix((once % size).astype(np.uint64)), start))
-            pick = np.argsort(name, kind="stable")[:64]
-            lists = [(once % size)[start[k] : start[k] + n[k]] for k in pick]
-            yield pa.record_batch({"name": pa.array(name[pick].view(np.int64)), "terms": pa.array(lists, pa.list_(pa.int64())), "n": pa.array([None] * len(pick), pa.int64())})
+            _, n = np.unique(once // size, return_counts=True)
+            lists = {"terms": pa.array([(once % size).astype(np.int32)], ints), "sizes": pa.array([n.astype(np.int32)], ints)}
+            yield pa.record_batch({"term": pa.array([None], pa.int64()), "n": pa.array([None], pa.int64()), **lists})
         some = np.flatnonzero(total)
-        yield pa.record_batch({"name": pa.array(some), "terms": pa.array([None] * len(some), pa.list_(pa.int64())), "n": pa.array(total[some])})
+        none = pa.array([None] * len(some), ints)
+        yield pa.record_batch({"term": pa.array(some), "n": pa.array(total[some]), "terms": none, "sizes": none})
 
-    found = written(documents.select("text").mapInArrow(rows, "name long, terms array<long>, n long"), "passages")
+    found = written(documents.select("text").mapInArrow(rows, "term long, n long, terms array<int>, sizes array<int>"), "passages")
     counts = np.zeros(size + 1, np.int64)
-    for row in found.filter("n is not null").groupBy("name").agg(F.sum("n").alias("n")).collect():
-        counts[row["name"]] = row["n"]
-    named = found.filter("n is null")
-    share = FIT_PASSAGES / max(named.count(), FIT_PASSAGES)
-    cut = named.agg(F.percentile_approx("name", share)).first()[0] if share < 1 else None
-    sample = (named if cut is None else named.filter(F.col("name") <= F.lit(cut))).select("terms")
-    return counts[:-1], int(counts[-1]), sample
+    for row in found.filter("n is not null").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        counts[row["term"]] = row["n"]
+    return counts[:-1], int(counts[-1]), found.filter("n is null").select("terms", "sizes")
 
 
 def weights(items: list[np.ndarray], vocabulary: Vocabulary, counts: np.ndarray, passages: int) -> np.ndarray:
@@ -150,49 +153,89 @@ def cut(item: np.ndarray) -> list[np.ndarray]:
     return np.array_split(item, max(1, -(-len(item) // PIECE)))
 
 
-def latent_space(rows: DataFrame, idf: np.ndarray, rank: int = RANK, power: int = 2) -> np.ndarray:
-    """terms x rank: the leading right singular vectors of the TF-IDF rows (column ``terms``).
+def pair_sums(rows: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``term, others, sums``: A^T A by rows, for the TF-IDF rows A of unit length in ``terms, sizes, copies``.
 
-    Randomised range finding; every product with the matrix is one Spark job over ``rows``.
+    A product of two weights is a whole number of 1 / ``UNIT``, so the sums do not depend on their order.
     """
     size = len(idf)
+    shared = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def merged(codes: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+        return codes[first], np.add.reduceat(sums[order], first) if len(first) else sums
+
+    def batch_of(codes: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"term": pa.array((codes // size).astype(np.int32)), "other": pa.array((codes % size).astype(np.int32)), "sum": pa.array(sums)})
+
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        nothing = np.zeros(0, np.int64)
+        held, fresh, waiting = (nothing, nothing), [], 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                flat = batch.column("terms")[k].values.to_numpy()
+                sizes = batch.column("sizes")[k].values.to_numpy()
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                kept = w[flat] > 0
+                flat, row = flat[kept].astype(np.int64), row[kept]
+                n = np.bincount(row, minlength=len(sizes))
+                value = w[flat] / np.sqrt(np.bincount(row, w[flat] ** 2, len(sizes)))[row]
+                first = (np.cumsum(n) - n)[row]
+                # every term of a passage with every term of it
+                left = np.repeat(np.arange(len(flat)), n[row])
+                right = np.arange(len(left)) - np.repeat(np.cumsum(n[row]) - n[row], n[row]) + first[left]
+                product = np.rint(value[left] * value[right] * UNIT).astype(np.int64) * batch.column("copies")[k].as_py()
+                fresh.append(merged(flat[left] * size + flat[right], product))
+                waiting += len(fresh[-1][0])
+                if waiting > PAIRS:
+                    held = merged(*(np.concatenate(x) for x in zip(held, *fresh, strict=True)))
+                    fresh, waiting = [], 0
+                    if len(held[0]) > PAIRS:
+                        yield batch_of(*held)
+                        held = (nothing, nothing)
+        held = merged(*(np.concatenate(x) for x in zip(held, *fresh, strict=True)))
+        for low in range(0, len(held[0]), 1 << 16):
+            yield batch_of(held[0][low : low + (1 << 16)], held[1][low : low + (1 << 16)])
+
+    pairs = rows.mapInArrow(job, "term int, other int, sum long").groupBy("term", "other").agg(F.sum("sum").alias("sum"))
+    listed = pairs.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("other", "sum"))).alias("found"))
+    return written(listed.select("term", F.col("found.other").alias("others"), F.col("found.sum").alias("sums")), "pairs")
+
+
+def latent_space(pairs: DataFrame, size: int, rank: int = RANK, power: int = 2) -> np.ndarray:
+    """terms x rank: the leading right singular vectors of the TF-IDF rows whose pair sums are given.
+
+    Randomised range finding; every product with the matrix is one Spark job over ``pairs``.
+    """
     width = min(rank + 16, size)
-    context = rows.sparkSession.sparkContext
+    context = pairs.sparkSession.sparkContext
 
-    def sums(basis: np.ndarray, inner: bool) -> np.ndarray:
-        """Sum over rows a of a^T (a B), or of (a B)^T (a B)."""
-        shared = context.broadcast((basis.astype(np.float32), idf.astype(np.float32)))
+    def product(basis: np.ndarray) -> np.ndarray:
+        shared = context.broadcast(basis.astype(np.float32))
 
         def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            b, w = shared.value
-            total = np.zeros((width if inner else size, width))
             for batch in batches:
-                lists = batch.column("terms")
-                first = np.asarray(lists.offsets)
-                flat = np.asarray(lists.flatten())
-                if not len(flat):
-                    continue
-                row = np.repeat(np.arange(len(lists)), np.diff(first - first[0]))
-                norm = np.sqrt(np.bincount(row, w[flat] ** 2, len(lists)))
-                value = (w[flat] / np.maximum(norm[row], 1e-9)).astype(np.float32)
-                full = np.flatnonzero(np.diff(first))
-                y = np.zeros((len(lists), width), np.float32)
-                y[full] = np.add.reduceat(value[:, None] * b[flat], (first - first[0])[full])
-                if inner:
-                    total += y.T @ y
-                else:
-                    order = np.argsort(flat, kind="stable")
-                    term, at = np.unique(flat[order], return_index=True)
-                    total[term] += np.add.reduceat((value[:, None] * y[row])[order], at)
-            yield pa.record_batch({"part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
-
-        parts = rows.coalesce(8).mapInArrow(job, "part binary").toLocalIterator()
-        return sum((np.frombuffer(r["part"], np.float32).reshape(-1, width).astype(float) for r in parts), np.zeros((width if inner else size, width)))
+                for low in range(0, batch.num_rows, STRIP):
+                    part = batch.slice(low, STRIP)
+                    others, sums = part.column("others"), part.column("sums")
+                    strip = np.zeros((part.num_rows, size), np.float32)
+                    line = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(others.offsets)))
+                    strip[line, np.asarray(others.flatten())] = np.asarray(sums.flatten()) / UNIT
+                    lines = [x.tobytes() for x in strip @ shared.value]
+                    yield pa.record_batch({"term": part.column("term"), "line": pa.array(lines, pa.binary())})
+
+        out = np.zeros((size, width))
+        for r in pairs.mapInArrow(job, "term int, line binary").toLocalIterator():
+            out[r["term"]] = np.frombuffer(r["line"], np.float32)
+        return out
 
     basis = np.random.default_rng(3).normal(size=(size, width))
     for _ in range(1 + power):
-        basis, _ = np.linalg.qr(sums(basis, inner=False))
-    _, turn = np.linalg.eigh(sums(basis, inner=True))
+        basis, _ = np.linalg.qr(product(basis))
+    _, turn = np.linalg.eigh(basis.T @ product(basis))
     return (basis @ turn[:, ::-1])[:, :rank]
 
 
@@ -346,14 +389,14 @@ def searchers(documents: DataFrame, benchmark: DataFrame) -> Iterator[Searcher]:
     for block in item_blocks(benchmark):
         items = read_items(block)
         vocabulary = Vocabulary(np.unique(np.concatenate(items.words)))
-        counts, passages, sample = passage_counts(documents, vocabulary)
+        counts, passages, lists = passage_counts(documents, vocabulary)
         idf = weights(items.words, vocabulary, counts, passages)
-        lists = [(np.unique(vocabulary.find(part)[1]).tolist(),) for w in items.words for part in cut(w)]
-        # Repeated, the items' pieces count as much as the sample: their directions are the ones asked for.
-        again = F.explode(F.sequence(F.lit(1), F.lit(max(1, FIT_PASSAGES // len(lists)))))
-        asked = spark.createDataFrame(lists, "terms array<long>").withColumn("again", again).select("terms")
-        fit = written(asked.union(sample), "fit")
-        found = Searcher(items, vocabulary, idf, latent_space(fit, idf, len(lists) + SPARE))
+        pieces = [np.unique(vocabulary.find(part)[1]).tolist() for w in items.words for part in cut(w)]
+        # Repeated, the items' pieces count as much as the corpus: their directions are the ones asked for.
+        again = max(1, passages // len(pieces))
+        asked = spark.createDataFrame([(sum(pieces, []), [len(p) for p in pieces], again)], "terms array<int>, sizes array<int>, copies long")
+        pairs = pair_sums(lists.withColumn("copies", F.lit(1).cast("long")).union(asked), idf)
+        found = Searcher(items, vocabulary, idf, latent_space(pairs, len(idf), len(pieces) + SPARE))
         give_back()
         yield found
 

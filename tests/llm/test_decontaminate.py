@@ -100,3 +100,29 @@ def test_blocks_are_bounded_by_pieces(spark, monkeypatch):
     assert sorted(i for b in blocks for i in b.ids) == [*range(20), 100]
     for b in blocks:
         assert sum(len(decontaminate.cut(w)) for w in b.words) <= 4 or b.ids == [100]
+
+
+def test_the_space_is_fitted_on_every_passage(spark, documents, prose):
+    """The pair sums are those of all passages; no share of them, however many there are."""
+    items = [prose(s, 40) for s in range(12)]
+    # more passages in a slice than a bounded pick of them would keep
+    rows = [(k, prose(100 + k, 32)) for k in range(700)]
+    asked = decontaminate.read_items(spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    vocabulary = decontaminate.Vocabulary(np.unique(np.concatenate(asked.words)))
+    counts, passages, lists = decontaminate.passage_counts(documents(rows), vocabulary)
+    assert passages == 700
+    idf = decontaminate.weights(asked.words, vocabulary, counts, passages)
+    made = decontaminate.pair_sums(lists.selectExpr("*", "2L as copies"), idf).collect()
+    matrix = np.zeros((len(idf), len(idf)))
+    for r in made:
+        matrix[r["term"], r["others"]] = np.array(r["sums"]) / decontaminate.UNIT
+    data, offsets = decontaminate.buffer(decontaminate.pa.array([t for _, t in rows]))
+    found = decontaminate.words(data, offsets, fold=True, bare=True)
+    full = np.zeros((700, len(idf)))
+    at, term = vocabulary.find(found.hash)
+    full[found.doc[at], term] = idf[term]
+    full /= np.maximum(np.linalg.norm(full, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(matrix, 2 * full.T @ full, atol=1e-5)
+    space = decontaminate.latent_space(decontaminate.pair_sums(lists.selectExpr("*", "1L as copies"), idf), len(idf), 8)
+    best = np.linalg.svd(full, full_matrices=False)[1][:8]
+    assert np.linalg.norm(full @ space) > 0.9 * np.linalg.norm(best)
